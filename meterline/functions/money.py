@@ -11,8 +11,9 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-AMOUNT = "decimal(18,4)"
-WIDE = "decimal(28,6)"
+AMOUNT = "decimal(18,4)"   # one usage row
+TOTAL = "decimal(28,4)"    # sums of them
+WIDE = "decimal(28,6)"     # means
 
 
 def mean_of(total: Column, rows: Column) -> Column:
@@ -23,13 +24,16 @@ def mean(c: str) -> Column:
     return mean_of(F.sum(c), F.count(c))
 
 
-def scaled(total: Column, numerator: int, denominator: int) -> Column:
+def scaled(total: Column, numerator: Column | int, denominator: Column | int) -> Column:
     """``total * numerator / denominator`` cut (not rounded) at four decimals.
 
     Works in whole ten-thousandths, so there is no tie to round.
     """
-    units = F.call_function("div", F.floor(total * 10000).cast("bigint") * numerator, F.lit(denominator))
-    return (units.cast("decimal(20,0)") * F.lit(Decimal("0.0001"))).cast(AMOUNT)
+    def whole(n: Column | int) -> Column:
+        return (n if isinstance(n, Column) else F.lit(n)).cast("decimal(10,0)")
+
+    units = F.call_function("div", F.floor(total * 10000) * whole(numerator), whole(denominator))
+    return (units.cast("decimal(20,0)") * F.lit(Decimal("0.0001"))).cast(TOTAL)
 
 
 def as_doubles(df: DataFrame) -> DataFrame:

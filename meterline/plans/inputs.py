@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import fiscal
 from ..functions.keys import series_key
-from ..functions.money import AMOUNT, WIDE, mean_of, scaled
+from ..functions.money import TOTAL, WIDE, mean_of, scaled
 from ..operators.publishing import ensemble_average
 from ..sources import tables
 
@@ -38,7 +38,7 @@ def _key_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (tables.daily_usage(spark, sf_dir)
             .where(F.col("date").between(F.lit(first_day), F.lit(C.LAST_VINTAGE - dt.timedelta(days=1))))
             .groupBy("date", series_key(F.col("region"), F.col("segment")).alias("key"), carved.alias("carved"))
-            .agg(F.sum("dollars").cast(AMOUNT).alias("dollars")))
+            .agg(F.sum("dollars").cast(TOTAL).alias("dollars")))
 
 
 def model_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,15 +51,15 @@ def model_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     mondays = _weeks_between(F.next_day("date", "Mon"), F.date_add("date", 28))
 
     def totals(key: Column) -> DataFrame:
-        by_weekday = [F.sum(F.when(F.dayofweek("date") == k, F.col("dollars"))).cast(AMOUNT) for k in range(1, 8)]
+        by_weekday = [F.sum(F.when(F.dayofweek("date") == k, F.col("dollars"))).cast(TOTAL) for k in range(1, 8)]
         return (days.select("date", "dollars", key.alias("key"), F.explode(mondays).alias("vintage"))
                 .where(F.col("vintage").between(F.lit(C.FIRST_VINTAGE), F.lit(C.LAST_VINTAGE)))
                 .groupBy("key", "vintage")
-                .agg(F.sum("dollars").cast(AMOUNT).alias("total"), F.array(*by_weekday).alias("weekdays")))
+                .agg(F.sum("dollars").cast(TOTAL).alias("total"), F.array(*by_weekday).alias("weekdays")))
 
     apart = totals(F.when(F.col("carved"), F.lit(C.CARVE_OUT_KEY)).otherwise(F.col("key")))
     whole = totals(F.col("key"))
-    weekday_sum = F.coalesce(F.element_at("weekdays", F.dayofweek("date")), F.lit(Decimal(0)).cast(AMOUNT))
+    weekday_sum = F.coalesce(F.element_at("weekdays", F.dayofweek("date")), F.lit(Decimal(0)).cast(TOTAL))
 
     def paths(sums: DataFrame, model: str, y: Column) -> DataFrame:
         horizon = F.sequence(F.col("vintage"), F.date_add("vintage", C.DAILY_HORIZON - 1))
@@ -94,7 +94,7 @@ def unit_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_model_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Output of one model as its job writes it: quoted labels, time stamps, no key."""
-    days = _key_days(spark, sf_dir).groupBy("date", "key").agg(F.sum("dollars").cast(AMOUNT).alias("dollars"))
+    days = _key_days(spark, sf_dir).groupBy("date", "key").agg(F.sum("dollars").cast(TOTAL).alias("dollars"))
     region = F.element_at(F.split("key", f"({'|'.join(C.SEGMENTS)}|ALL)$"), 1)
     quote = F.lit("'")
     return days.select(
@@ -123,10 +123,10 @@ def unit_forecast_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = (monthly_usage(spark, sf_dir)
             .where(month.between(F.add_months(F.lit(C.FIRST_MONTHLY_VINTAGE), -3), F.lit(C.LAST_MONTHLY_VINTAGE)))
             .groupBy(month.alias("month_start"), series_key(F.col("region"), F.col("segment")).alias("key"))
-            .agg(F.sum("dollars").cast(AMOUNT).alias("dollars"))
+            .agg(F.sum("dollars").cast(TOTAL).alias("dollars"))
             .select("key", "dollars", F.explode(vintages).alias("vintage"))
             .where(F.col("vintage").between(F.lit(C.FIRST_MONTHLY_VINTAGE), F.lit(C.LAST_MONTHLY_VINTAGE)))
-            .groupBy("key", "vintage").agg(F.sum("dollars").cast(AMOUNT).alias("total")))
+            .groupBy("key", "vintage").agg(F.sum("dollars").cast(TOTAL).alias("total")))
     target = F.sequence(F.col("vintage"), F.add_months("vintage", C.MONTHLY_HORIZON - 1), F.expr("interval 1 month"))
     y = scaled(F.col("total"), 1, 3)
     return sums.select(
@@ -143,11 +143,11 @@ def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     usage = tables.daily_usage(spark, sf_dir).where(
         F.col("date").between(F.lit(C.FIRST_PLAN_QUARTER), fiscal.quarter_end(F.lit(C.LAST_PLAN_QUARTER))))
     monthly = (usage.groupBy(fiscal.month_start("date").alias("month_start"), "platform", "unit")
-               .agg(F.sum("dollars").cast(AMOUNT).alias("dollars")))
+               .agg(F.sum("dollars").cast(TOTAL).alias("dollars")))
 
     def of_kind(kind: str, name: str) -> DataFrame:
         return (monthly.groupBy("month_start", F.col(name).alias("platform"))
-                .agg(F.sum("dollars").cast(AMOUNT).alias("dollars"))
+                .agg(F.sum("dollars").cast(TOTAL).alias("dollars"))
                 .withColumn("plan_kind", F.lit(kind)))
 
     return of_kind("Platform", "platform").unionByName(of_kind("Business Unit", "unit")).select(
@@ -190,11 +190,11 @@ def account_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     usage = tables.daily_usage(spark, sf_dir)
 
     def part(condition: Column, name: str) -> Column:
-        return F.sum(F.when(condition, F.col("dollars"))).cast(AMOUNT).alias(name)
+        return F.sum(F.when(condition, F.col("dollars"))).cast(TOTAL).alias(name)
 
     kind, priority = F.col("kind"), F.col("priority")
     weekly = usage.groupBy("account_id", fiscal.monday_of("date").alias("week_start")).agg(
-        F.sum("dollars").cast(AMOUNT).alias("amount"),
+        F.sum("dollars").cast(TOTAL).alias("amount"),
         part(kind == "A", "usage_a"), part(kind == "N", "usage_n"), part(kind == "R", "usage_r"),
         part(priority == "1-URGENT", "usage_urgent"),
         *[F.count_if(kind == k).alias(f"rows_{k}") for k in ("A", "N", "R")])
@@ -210,12 +210,12 @@ def account_week(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.greatest("first_week", F.date_sub(keep_from, 7 * 12)), newest)))
     orders = tables.read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").cast("string").alias("account_id")).agg(
         F.count("*").alias("orders_total"),
-        mean_of(F.sum(F.col("o_totalprice").cast(AMOUNT)), F.count("*")).cast("double").alias("mean_order_price"))
+        mean_of(F.sum(F.col("o_totalprice").cast(TOTAL)), F.count("*")).cast("double").alias("mean_order_price"))
     traits = tables.accounts(spark, sf_dir).select(
         "account_id", "account_balance", "region", "segment", "sub_unit", "unit")
     ordered = Window.partitionBy("account_id").orderBy("week_start")
     last_12 = ordered.rowsBetween(-11, 0)
-    zero = F.lit(Decimal(0)).cast(AMOUNT)
+    zero = F.lit(Decimal(0)).cast(TOTAL)
     amounts = ("amount", "usage_a", "usage_n", "usage_r", "usage_urgent")
     dense = (spine.join(weekly.drop("rows_A", "rows_N", "rows_R"), ["account_id", "week_start"], "left")
              .select("account_id", "week_start", "first_week", "last_week", "main_kind",
@@ -247,14 +247,14 @@ def account_predictions(spark: SparkSession, sf_dir: str, weeks: int = C.ACCOUNT
     """Predicted change per account, step and train date: mean of four weeks minus the last one."""
     panel = account_week(spark, sf_dir)
     ordered = Window.partitionBy("account_id").orderBy("week_start").rowsBetween(-3, 0)
-    amount = F.col("dollars").cast(AMOUNT)
+    amount = F.col("dollars").cast(TOTAL)
     newest = tables.read(spark, sf_dir, "lineitem").select(
         fiscal.monday_of(F.max(F.to_date("l_shipdate")))).scalar()
     recent = panel.select("account_id", "week_start", "dollars", "real", "idle_12_weeks",
-                          F.sum(amount).over(ordered).cast(AMOUNT).alias("four_weeks"))
+                          F.sum(amount).over(ordered).cast(TOTAL).alias("four_weeks"))
     return (recent.where(F.col("week_start") > F.date_sub(newest, 7 * C.ACCOUNT_VINTAGES))
             .withColumn("week_ahead", F.explode(F.sequence(F.lit(1), F.lit(weeks))))
             .select("account_id",
-                    (scaled(F.col("four_weeks"), 1, 4) - amount).cast(AMOUNT).alias("prediction"),
+                    (scaled(F.col("four_weeks"), 1, 4) - amount).cast(TOTAL).alias("prediction"),
                     amount.alias("dollars"), "week_ahead",
                     F.date_add("week_start", 7).alias("train_date"), "real", "idle_12_weeks"))

@@ -258,4 +258,7 @@ def compose(text: str, *views: str) -> str:
     if not ordered:
         return text
     head = ",\n".join(f"{name} AS ({VIEWS[name][0]})" for name in ordered)
-    return f"WITH {head}\n{text}"
+    body = text.lstrip()
+    if body.startswith("WITH "):  # its own common table expressions follow the views
+        return f"WITH {head},\n{body[5:]}"
+    return f"WITH {head}\n{body}"
