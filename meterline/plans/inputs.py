@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import fiscal
 from ..functions.keys import series_key
-from ..functions.money import TOTAL, WIDE, mean_of, scaled
+from ..functions.money import AMOUNT, TOTAL, WIDE, mean_of, scaled
 from ..operators.publishing import ensemble_average
 from ..sources import tables
 
@@ -57,21 +57,27 @@ def model_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .groupBy("key", "vintage")
                 .agg(F.sum("dollars").cast(TOTAL).alias("total"), F.array(*by_weekday).alias("weekdays")))
 
-    apart = totals(F.when(F.col("carved"), F.lit(C.CARVE_OUT_KEY)).otherwise(F.col("key")))
-    whole = totals(F.col("key"))
-    weekday_sum = F.coalesce(F.element_at("weekdays", F.dayofweek("date")), F.lit(Decimal(0)).cast(TOTAL))
+    def values(y: Column) -> Column:
+        return F.named_struct(F.lit("y"), y, F.lit("y_lower"), scaled(y, 9, 10).cast(AMOUNT),
+                              F.lit("y_upper"), scaled(y, 11, 10).cast(AMOUNT))
 
-    def paths(sums: DataFrame, model: str, y: Column) -> DataFrame:
+    def paths(sums: DataFrame, model: str, levels: Column) -> DataFrame:
+        """Values are worked out once per weekday, before the horizon is unfolded."""
         horizon = F.sequence(F.col("vintage"), F.date_add("vintage", C.DAILY_HORIZON - 1))
-        return (sums.withColumn("date", F.explode(horizon))
-                .select(F.concat("key", F.lit(C.KEY_SUFFIX)).alias("ts_key"), F.lit(model).alias("model"),
-                        F.lit("na").alias("run_id"), "date", y.alias("y"), "vintage"))
+        return (sums.select("key", "vintage", levels.alias("levels"))
+                .select("key", "vintage", "levels", F.explode(horizon).alias("date"))
+                .select("key", "vintage", "date", F.lit(model).alias("model"),
+                        F.element_at("levels", F.dayofweek("date")).alias("v")))
 
-    both = paths(apart, "naive7", scaled(weekday_sum, 1, 4)).unionByName(
-        paths(whole, "naive28", scaled(F.col("total"), 1, 28)))
+    nothing = F.lit(Decimal(0)).cast(TOTAL)
+    apart = totals(F.when(F.col("carved"), F.lit(C.CARVE_OUT_KEY)).otherwise(F.col("key")))
+    whole = totals(F.col("key"))
+    same_weekday = F.transform("weekdays", lambda s: values(scaled(F.coalesce(s, nothing), 1, 4).cast(AMOUNT)))
+    every_day = F.array_repeat(values(scaled(F.col("total"), 1, 28).cast(AMOUNT)), 7)
+    both = paths(apart, "naive7", same_weekday).unionByName(paths(whole, "naive28", every_day))
     return both.select(
-        "ts_key", "model", "run_id", "date", "y",
-        scaled(F.col("y"), 9, 10).alias("y_lower"), scaled(F.col("y"), 11, 10).alias("y_upper"),
+        F.concat("key", F.lit(C.KEY_SUFFIX)).alias("ts_key"), "model", F.lit("na").alias("run_id"), "date",
+        "v.y", "v.y_lower", "v.y_upper",
         _hours_into("vintage", 6).alias("train_run_at"), _hours_into("vintage", 6).alias("score_run_at"),
         "vintage")
 
@@ -79,17 +85,19 @@ def model_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unit_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published daily forecasts: the ensemble, plus a rerun and a run that is switched off."""
     base = ensemble_average(model_forecast(spark, sf_dir))
-    run = base.select("ts_key", "date", "vintage", "y", "y_lower", "y_upper",
-                      _hours_into("vintage", 6).alias("score_run_at"), F.lit(True).alias("is_active"))
 
-    def rerun(vintage: dt.date, percent: int, active: bool) -> DataFrame:
-        return (run.where(F.col("vintage") == F.lit(vintage))
-                .select("ts_key", "date", "vintage",
-                        *[scaled(F.col(c), percent, 100).cast(WIDE).alias(c) for c in ("y", "y_lower", "y_upper")],
-                        _hours_into("vintage", 12).alias("score_run_at"), F.lit(active).alias("is_active")))
+    def run(hour: int, percent: int, active: bool) -> Column:
+        values = [(F.col(c) if percent == 100 else scaled(F.col(c), percent, 100)).cast(WIDE).alias(c)
+                  for c in ("y", "y_lower", "y_upper")]
+        return F.struct(F.lit(hour).alias("hour"), F.lit(active).alias("is_active"), *values)
 
-    return (run.unionByName(rerun(C.TWO_RUN_VINTAGE, 102, True))
-            .unionByName(rerun(C.INACTIVE_RUN_VINTAGE, 200, False)))
+    runs = (F.when(F.col("vintage") == F.lit(C.TWO_RUN_VINTAGE), F.array(run(6, 100, True), run(12, 102, True)))
+            .when(F.col("vintage") == F.lit(C.INACTIVE_RUN_VINTAGE), F.array(run(6, 100, True), run(12, 200, False)))
+            .otherwise(F.array(run(6, 100, True))))
+    return base.select("ts_key", "date", "vintage", F.explode(runs).alias("r")).select(
+        "ts_key", "date", "vintage", "r.y", "r.y_lower", "r.y_upper",
+        (F.col("vintage").cast("timestamp") + F.make_dt_interval(hours=F.col("r.hour"))).alias("score_run_at"),
+        "r.is_active")
 
 
 def raw_model_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,11 +198,11 @@ def account_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     usage = tables.daily_usage(spark, sf_dir)
 
     def part(condition: Column, name: str) -> Column:
-        return F.sum(F.when(condition, F.col("dollars"))).cast(TOTAL).alias(name)
+        return F.sum(F.when(condition, F.col("dollars"))).cast(AMOUNT).alias(name)
 
     kind, priority = F.col("kind"), F.col("priority")
     weekly = usage.groupBy("account_id", fiscal.monday_of("date").alias("week_start")).agg(
-        F.sum("dollars").cast(TOTAL).alias("amount"),
+        F.sum("dollars").cast(AMOUNT).alias("amount"),
         part(kind == "A", "usage_a"), part(kind == "N", "usage_n"), part(kind == "R", "usage_r"),
         part(priority == "1-URGENT", "usage_urgent"),
         *[F.count_if(kind == k).alias(f"rows_{k}") for k in ("A", "N", "R")])
@@ -210,18 +218,18 @@ def account_week(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.greatest("first_week", F.date_sub(keep_from, 7 * 12)), newest)))
     orders = tables.read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").cast("string").alias("account_id")).agg(
         F.count("*").alias("orders_total"),
-        mean_of(F.sum(F.col("o_totalprice").cast(TOTAL)), F.count("*")).cast("double").alias("mean_order_price"))
+        mean_of(F.sum(F.col("o_totalprice").cast(AMOUNT)), F.count("*")).cast("double").alias("mean_order_price"))
     traits = tables.accounts(spark, sf_dir).select(
         "account_id", "account_balance", "region", "segment", "sub_unit", "unit")
     ordered = Window.partitionBy("account_id").orderBy("week_start")
     last_12 = ordered.rowsBetween(-11, 0)
-    zero = F.lit(Decimal(0)).cast(TOTAL)
+    zero = F.lit(Decimal(0)).cast(AMOUNT)
     amounts = ("amount", "usage_a", "usage_n", "usage_r", "usage_urgent")
     dense = (spine.join(weekly.drop("rows_A", "rows_N", "rows_R"), ["account_id", "week_start"], "left")
              .select("account_id", "week_start", "first_week", "last_week", "main_kind",
                      *[F.coalesce(F.col(c), zero).alias(c) for c in amounts]))
     windowed = dense.select(
-        "*", F.sum("amount").over(last_12).alias("last_12_weeks"),
+        "*", (F.max(F.abs("amount")).over(last_12) == 0).alias("idle"),
         *[F.lag("amount", k).over(ordered).cast("double").alias(f"lag_{k}") for k in range(1, 5)])
     balance = F.col("account_balance")
     return (windowed.where(F.col("week_start") >= keep_from)
@@ -232,7 +240,7 @@ def account_week(spark: SparkSession, sf_dir: str) -> DataFrame:
                 _week_number(F.col("first_week")).alias("start_week"),
                 _week_number(F.col("last_week")).alias("end_week"),
                 F.col("amount").cast("double").alias("dollars"),
-                F.when(~balance.between(0, 100), F.col("last_12_weeks") == 0).alias("idle_12_weeks"),
+                F.when(~balance.between(0, 100), F.col("idle")).alias("idle_12_weeks"),
                 F.when(balance >= 2000, 1).otherwise(0).alias("real"),
                 "region", "sub_unit", "segment", "unit", "main_kind",
                 F.when(balance < 0, "debit").when(balance < 5000, "low").otherwise("high").alias("balance_band"),
