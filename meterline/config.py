@@ -54,6 +54,10 @@ PANEL_WEEKS = 104
 ACCOUNT_VINTAGES = 6
 ACCOUNT_FIXTURE_WEEKS = 8
 OUTLOOK_WEEKS = 26
+ACCOUNT_AS_OF = dt.date(2001, 11, 5)         # day after the last loaded date
+RECENT_MONTH = dt.date(2001, 1, 1)           # accounts without a later month are not forecast
+MOVEMENT_FIRST = dt.date(2001, 8, 1)         # fiscal quarter shown for account movement
+MOVEMENT_LAST = dt.date(2001, 10, 31)
 
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 SEGMENT_REGIONS = ("AFRICA", "AMERICA", "MIDDLE_EAST")   # planned by region and segment

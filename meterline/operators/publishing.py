@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import fiscal
 from ..functions.keys import series_key
-from ..functions.money import TOTAL, mean
+from ..functions.money import TOTAL, WIDE, mean
 
 VALUES = ("y", "y_lower", "y_upper")
 
@@ -62,7 +62,7 @@ def monthly_promotion(raw: DataFrame, monthly: DataFrame) -> DataFrame:
 
 
 def _key_sums(rows: DataFrame, key: Column) -> DataFrame:
-    return rows.groupBy(key.alias("unit_key")).agg(*[F.sum(v).alias(v) for v in VALUES])
+    return rows.groupBy(key.alias("unit_key")).agg(*[F.sum(v).cast(WIDE).alias(v) for v in VALUES])
 
 
 def _without_suffix(c: str) -> Column:
@@ -113,25 +113,38 @@ BOUNDS = ("forecast_lower", "forecast", "forecast_upper")
 def carve_out_residual(snapshot: DataFrame, names: DataFrame) -> DataFrame:
     """Take the carved-out series off its parent and give units their display names.
 
-    The carved-out row meets its parent by an equi join on parent key and vintage.
+    The carved-out row is emitted twice, once as itself and once with a minus sign under its
+    parent, so one small aggregation does the work of a self join.
     """
-    carved = snapshot.where(F.col("unit_key") == C.CARVE_OUT_KEY).select(
-        "vintage", F.lit(C.CARVE_OUT_PARENT).alias("unit_key"), *[F.col(b).alias(f"own_{b}") for b in BOUNDS])
-    rest = snapshot.join(carved, ["unit_key", "vintage"], "left").join(names, "unit_key", "left")
-    return rest.select("display_name", "position", "vintage",
-                       *[(F.col(b) - F.coalesce(F.col(f"own_{b}"), F.lit(0))).alias(b) for b in BOUNDS])
+    def as_part(key: Column, sign: int) -> Column:
+        return F.named_struct(F.lit("unit_key"), key, F.lit("own"), F.lit(sign > 0),
+                              *[c for b in BOUNDS for c in (F.lit(b), (F.col(b) * sign).cast(WIDE))])
 
+    itself = as_part(F.col("unit_key"), 1)
+    parts = F.when(F.col("unit_key") == C.CARVE_OUT_KEY, F.array(itself, as_part(F.lit(C.CARVE_OUT_PARENT), -1))
+                   ).otherwise(F.array(itself))
+    rest = (snapshot.select("vintage", F.explode(parts).alias("p")).select("vintage", "p.*")
+            .groupBy("unit_key", "vintage").agg(F.bool_or("own").alias("own"), *[F.sum(b).alias(b) for b in BOUNDS])
+            .where("own"))
+    return rest.join(names, "unit_key", "left").select("display_name", "position", "vintage", *BOUNDS)
 
-def report_table(residual: DataFrame) -> DataFrame:
-    """Newest snapshot rounded up to the next step, units in given order, total row last."""
+
+def report_table(residual: DataFrame, vintage: Column | None = None) -> DataFrame:
+    """One snapshot (the newest by default) rounded up to the next step, total row last.
+
+    Rows and total come from one pass over grouping sets.
+    """
     step = C.ROUND_UP_TO
-    newest = residual.select(F.max("vintage")).scalar()
-    rows = residual.where(F.col("vintage") == newest).select(
+    chosen = residual.select(F.max("vintage")).scalar() if vintage is None else vintage
+    rows = residual.where(F.col("vintage") == chosen).select(
         "position", "display_name",
         *[(F.floor((F.col(b) + (step - 1)) / step) * step).cast("bigint").alias(b) for b in BOUNDS])
-    total = rows.agg((F.max("position") + 1).alias("position"), F.lit("Total").alias("display_name"),
-                     *[F.sum(b).alias(b) for b in BOUNDS])
-    return rows.unionByName(total)
+    keys = [F.col("position"), F.col("display_name")]
+    is_total = F.grouping_id() > 0
+    return (rows.withColumn("at", F.col("position")).groupingSets([keys, []], *keys)
+            .agg(F.max("at").alias("at"), is_total.alias("total"), *[F.sum(b).alias(b) for b in BOUNDS])
+            .select(F.when(F.col("total"), F.col("at") + 1).otherwise(F.col("position")).alias("position"),
+                    F.when(F.col("total"), F.lit("Total")).otherwise(F.col("display_name")).alias("display_name"), *BOUNDS))
 
 
 def current_fiscal_period(usage: DataFrame, date: Column) -> DataFrame:

@@ -16,6 +16,8 @@ from .. import config as C
 from ..functions import fiscal
 from ..functions.keys import series_key
 from ..functions.money import AMOUNT, TOTAL, WIDE, mean_of, scaled
+from ..operators.accounts import account_monthly_eligible, forecast_schedule
+from ..operators.allocation import week_to_day, weekday_share
 from ..operators.publishing import ensemble_average
 from ..sources import tables
 
@@ -266,3 +268,28 @@ def account_predictions(spark: SparkSession, sf_dir: str, weeks: int = C.ACCOUNT
                     (scaled(F.col("four_weeks"), 1, 4) - amount).cast(TOTAL).alias("prediction"),
                     amount.alias("dollars"), "week_ahead",
                     F.date_add("week_start", 7).alias("train_date"), "real", "idle_12_weeks"))
+
+
+# --- account forecasts -------------------------------------------------------------------
+
+
+def account_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Naive monthly forecast of eligible accounts: mean row of the history, for each future month."""
+    monthly = monthly_usage(spark, sf_dir)
+    eligible = account_monthly_eligible(monthly, C.RECENT_MONTH)
+    sums = monthly.groupBy("account_id").agg(F.sum("dollars").cast(TOTAL).alias("total"), F.count("*").alias("rows"))
+    newest = tables.read(spark, sf_dir, "lineitem").select(
+        fiscal.monday_of(F.max(F.to_date("l_shipdate")))).scalar()
+    months = F.sequence(fiscal.month_start("future_start"), F.col("future_end"), F.expr("interval 1 month"))
+    return eligible.join(sums, "account_id").select(
+        "account_id", F.explode(months).alias("month"), scaled(F.col("total"), 1, F.col("rows")).alias("forecast"),
+        F.date_add(newest, 7).alias("train_date")).withColumn("date", F.last_day("month")).drop("month")
+
+
+def account_day_forecast(spark: SparkSession, sf_dir: str, weeks: int = C.OUTLOOK_WEEKS) -> DataFrame:
+    """Daily forecasts of all accounts and runs."""
+    weekly = forecast_schedule(account_predictions(spark, sf_dir, weeks))
+    shares = weekday_share(tables.daily_usage(spark, sf_dir), C.ACCOUNT_AS_OF)
+    return week_to_day(weekly, shares).select(
+        "account_id", "date", F.col("train_date").alias("run_date"),
+        F.round("forecast", 6).cast(WIDE).alias("forecast"))

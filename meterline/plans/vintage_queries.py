@@ -139,7 +139,8 @@ r AS (SELECT position, display_name, {_ROUNDED} FROM residual WHERE vintage = (S
 SELECT * FROM r UNION ALL
 SELECT CAST(max(position) + 1 AS INTEGER), 'Total', {', '.join(f'CAST(sum({b}) AS BIGINT)' for b in P.BOUNDS)} FROM r""", *_SNAPSHOT_VIEWS))
 def report_table(spark, sf):
-    return P.report_table(carve_out_residual(spark, sf))
+    newest = I.unit_forecast(spark, sf).select(F.max("vintage")).scalar()
+    return P.report_table(carve_out_residual(spark, sf), newest)
 
 
 @query("current_fiscal_period", f"""
