@@ -13,6 +13,7 @@ from ..operators import calendar as cal
 from ..operators import forecasting as M
 from ..operators import series as S
 from ..sources import tables as T
+from ..sources.shared import shared
 from . import inputs as I
 from . import series_queries as SQ
 from .oracle_inputs import compose, key
@@ -22,6 +23,7 @@ BREAKS = 5
 WINDOWS = (7, 28, 91)
 
 
+@shared
 def dense_units(spark, sf):
     """Daily unit series with a zero for every day without usage."""
     series = S.daily_series(T.daily_usage(spark, sf), "unit")
@@ -158,6 +160,7 @@ LEFT JOIN (SELECT {key('region', 'segment')} || '{C.KEY_SUFFIX}' AS ts_key, date
  ON a.ts_key = f.ts_key AND a.date = f.date"""
 
 
+@shared
 def forecast_and_actual(spark, sf):
     """Forecast rows of each model, carved-out part folded back, next to what came."""
     models = I.model_forecast(spark, sf)

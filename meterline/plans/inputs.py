@@ -20,6 +20,7 @@ from ..operators.accounts import account_monthly_eligible, forecast_schedule
 from ..operators.allocation import week_to_day, weekday_share
 from ..operators.publishing import ensemble_average
 from ..sources import tables
+from ..sources.shared import shared
 
 
 def _weeks_between(first: Column, last: Column) -> Column:
@@ -33,6 +34,7 @@ def _hours_into(day: str, hours: int) -> Column:
 # --- daily forecasts ---------------------------------------------------------------------
 
 
+@shared
 def _key_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily sums per key around the vintages, the carved-out part kept apart."""
     carved = (F.col("segment") == C.CARVE_OUT_SEGMENT) & (F.col("sub_unit") == C.CARVE_OUT_SUB_UNIT)
@@ -43,6 +45,7 @@ def _key_days(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.sum("dollars").cast(TOTAL).alias("dollars")))
 
 
+@shared
 def model_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two naive models per key and vintage: mean of the same weekday, mean of all days.
 
@@ -84,6 +87,7 @@ def model_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vintage")
 
 
+@shared
 def unit_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published daily forecasts: the ensemble, plus a rerun and a run that is switched off."""
     base = ensemble_average(model_forecast(spark, sf_dir))
@@ -102,6 +106,7 @@ def unit_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
         "r.is_active")
 
 
+@shared
 def raw_model_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Output of one model as its job writes it: quoted labels, time stamps, no key."""
     days = _key_days(spark, sf_dir).groupBy("date", "key").agg(F.sum("dollars").cast(TOTAL).alias("dollars"))
@@ -121,11 +126,13 @@ def raw_model_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- monthly forecasts -------------------------------------------------------------------
 
 
+@shared
 def monthly_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (tables.monthly_private(spark, sf_dir).withColumn("source", F.lit("private"))
             .unionByName(tables.monthly_public(spark, sf_dir).withColumn("source", F.lit("public"))))
 
 
+@shared
 def unit_forecast_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean of the three months before the vintage, for four months from the vintage on."""
     month = fiscal.month_date("year", "month")
@@ -148,6 +155,7 @@ def unit_forecast_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- plans and snapshots -----------------------------------------------------------------
 
 
+@shared
 def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manual plan per platform and per unit: usage of the quarter's months plus five percent."""
     usage = tables.daily_usage(spark, sf_dir).where(
@@ -167,6 +175,7 @@ def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
         scaled(F.col("dollars"), 105, 100).alias("dollars"))
 
 
+@shared
 def usage_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept versions of the usage table: what was known on each vintage day.
 
@@ -191,6 +200,7 @@ def _week_number(day: Column) -> Column:
     return F.call_function("div", F.datediff(day, F.lit(C.EPOCH_MONDAY)), F.lit(7)).cast("int")
 
 
+@shared
 def account_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense weekly panel: every account has each week from its first one to the newest one.
 
@@ -253,6 +263,7 @@ def account_week(spark: SparkSession, sf_dir: str) -> DataFrame:
                 *[f"lag_{k}" for k in range(1, 5)]))
 
 
+@shared
 def account_predictions(spark: SparkSession, sf_dir: str, weeks: int = C.ACCOUNT_FIXTURE_WEEKS) -> DataFrame:
     """Predicted change per account, step and train date: mean of four weeks minus the last one."""
     panel = account_week(spark, sf_dir)
@@ -273,6 +284,7 @@ def account_predictions(spark: SparkSession, sf_dir: str, weeks: int = C.ACCOUNT
 # --- account forecasts -------------------------------------------------------------------
 
 
+@shared
 def account_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Naive monthly forecast of eligible accounts: mean row of the history, for each future month."""
     monthly = monthly_usage(spark, sf_dir)
@@ -286,6 +298,7 @@ def account_months(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_add(newest, 7).alias("train_date")).withColumn("date", F.last_day("month")).drop("month")
 
 
+@shared
 def account_day_forecast(spark: SparkSession, sf_dir: str, weeks: int = C.OUTLOOK_WEEKS) -> DataFrame:
     """Daily forecasts of all accounts and runs."""
     weekly = forecast_schedule(account_predictions(spark, sf_dir, weeks))

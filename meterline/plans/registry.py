@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.money import as_doubles
 from ..session import prepare
+from ..sources.shared import one_build, shared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -17,14 +18,17 @@ def query(name: str, sql: str | None = None):
     """Register a query; decimals leave it as doubles."""
 
     def register(build: Callable[[SparkSession, str], DataFrame]):
+        table = shared(build)
+
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return as_doubles(build(prepare(spark), sf_dir))
+            with one_build():
+                return as_doubles(table(prepare(spark), sf_dir))
 
         run.__name__ = name
         run.__doc__ = build.__doc__
         QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
-        return build
+        return table
 
     return register

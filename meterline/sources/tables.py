@@ -13,8 +13,10 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions.money import AMOUNT
+from .shared import shared
 
 
+@shared
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,6 +26,7 @@ def _unit_columns(region: Column, segment: Column, nation: Column) -> list[Colum
     return [unit.alias("unit"), F.concat(region, F.lit("_"), nation).alias("sub_unit")]
 
 
+@shared
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per account: name, balance and unit columns."""
     customer = read(spark, sf_dir, "customer")
@@ -43,6 +46,7 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@shared
 def daily_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metered usage by day and account; the main fact table."""
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
@@ -76,11 +80,13 @@ def _monthly(spark: SparkSession, sf_dir: str, which: Column) -> DataFrame:
     )
 
 
+@shared
 def monthly_private(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly usage of accounts on private contracts: the highest balances."""
     return _monthly(spark, sf_dir, F.col("account_balance") >= 9000)
 
 
+@shared
 def monthly_public(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly usage of public accounts: those in debit."""
     return _monthly(spark, sf_dir, F.col("account_balance") < 0)
