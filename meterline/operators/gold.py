@@ -163,17 +163,21 @@ def total_quarter_by_vintage(frozen: DataFrame, monthly_actuals: DataFrame, dail
     return whole
 
 
+def _month_list() -> Column:
+    months = F.transform(F.array_sort(F.collect_set("date")), lambda d: F.date_format(d, "MMMM yyyy"))
+    return F.array_join(months, ", ").alias("overlap_months")
+
+
 def overlap_months(accuracy: DataFrame) -> DataFrame:
     """Months of the accuracy table in order, in one cell; the set is bounded by the calendar."""
-    months = F.transform(F.array_sort(F.collect_set("date")), lambda d: F.date_format(d, "MMMM yyyy"))
-    return accuracy.agg(F.array_join(months, ", ").alias("overlap_months"))
+    return accuracy.agg(_month_list())
 
 
 def dashboard_metadata(daily: DataFrame, monthly_forecast: DataFrame, plan: DataFrame, accuracy: DataFrame,
                        as_of: dt.date) -> DataFrame:
     """One row about the state of all tables; every value is a scalar of its own."""
     plan_dates = plan.select(F.to_date("as_of_date").alias("vintage"))
-    base = accuracy.agg(F.max("date").alias("last_month"))
+    base = accuracy.agg(F.max("date").alias("last_month"), _month_list())
     today = F.lit(as_of)
     return base.select(
         today.cast("timestamp").alias("refreshed_at"),
@@ -181,7 +185,7 @@ def dashboard_metadata(daily: DataFrame, monthly_forecast: DataFrame, plan: Data
         monthly_forecast.select(F.max("vintage")).scalar().alias("latest_monthly_vintage"),
         V.first_vintage_of(daily, as_of).alias("first_daily_vintage_in_quarter"),
         V.first_vintage_of(plan_dates, as_of).alias("first_plan_date_in_quarter"),
-        overlap_months(accuracy).scalar().alias("overlap_months"),
+        "overlap_months",
         F.date_format(today, "MMMM yyyy").alias("current_month"),
         F.next_day(today, "Mon").alias("next_refresh_date"),
         F.date_add(F.add_months("last_month", 1), C.CLOSE_LAG_DAYS).alias("accuracy_refresh_date"))

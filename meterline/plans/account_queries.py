@@ -12,6 +12,7 @@ from ..operators import forecasting as M
 from ..operators import movement as W
 from ..operators import series as S
 from ..sources import tables as T
+from ..sources.shared import shared, stored
 from . import inputs as I
 from .oracle_inputs import VIEWS, compose, quarter_end, scaled, week_start
 from .registry import query
@@ -83,7 +84,7 @@ def inactive_accounts(spark, sf):
 SELECT account_id, week_start, dollars, real, idle_12_weeks, CASE WHEN {_SMALL} THEN 'small' ELSE 'real' END AS population
 FROM account_week WHERE NOT ({_SMALL} AND account_id IN (SELECT account_id FROM inactive))""", "account_week", "inactive"))
 def account_population(spark, sf):
-    panel = I.account_week(spark, sf)
+    panel = stored(I.account_week(spark, sf).select("account_id", "week_start", "week", "end_week", "dollars", "real", "idle_12_weeks"))
     return A.account_population(panel, A.inactive_accounts(panel)).select(
         "account_id", "week_start", "dollars", "real", "idle_12_weeks", "population")
 
@@ -110,14 +111,14 @@ def direct_horizon_training(spark, sf):
     return A.direct_horizon_training(I.account_week(spark, sf).select("account_id", "week", "dollars"), STEPS)
 
 
-def _real(spark, sf):
-    small = F.coalesce("idle_12_weeks", F.lit(False)) | (F.col("real") == 0)
-    return A.forecast_schedule(I.account_predictions(spark, sf).where(~small))
+@shared
+def predictions(spark, sf):
+    return stored(I.account_predictions(spark, sf))
 
 
-def _small(spark, sf):
-    small = F.coalesce("idle_12_weeks", F.lit(False)) | (F.col("real") == 0)
-    return A.forecast_schedule(I.account_predictions(spark, sf).where(small))
+def _of_population(spark, sf, small: bool):
+    is_small = F.coalesce("idle_12_weeks", F.lit(False)) | (F.col("real") == 0)
+    return A.forecast_schedule(predictions(spark, sf).where(is_small if small else ~is_small))
 
 
 @query("forecast_schedule", compose("SELECT account_id, CAST(forecast AS DOUBLE) AS forecast, week, train_date FROM scheduled", "scheduled"))
@@ -127,7 +128,7 @@ def forecast_schedule(spark, sf):
 
 @query("zero_fill_inactive", compose(_doubles("small_forecast"), "small_forecast"))
 def zero_fill_inactive(spark, sf):
-    return A.zero_fill_inactive(_small(spark, sf), inactive_accounts(spark, sf))
+    return A.zero_fill_inactive(_of_population(spark, sf, True), inactive_accounts(spark, sf))
 
 
 @query("account_monthly_eligible", compose("SELECT * FROM eligible", "eligible"))
@@ -152,7 +153,7 @@ def month_to_week(spark, sf):
 
 def _monthly_filled(spark, sf):
     accounts = T.monthly_private(spark, sf).select("account_id").union(T.monthly_public(spark, sf).select("account_id"))
-    return L.zero_fill_unforecast(L.month_to_week(I.account_months(spark, sf)), accounts)
+    return L.zero_fill_unforecast(stored(L.month_to_week(I.account_months(spark, sf))), accounts)
 
 
 @query("zero_fill_unforecast", compose(
@@ -172,7 +173,7 @@ WHERE week > (SELECT max(week_start) FROM account_week) AND week <= (SELECT max(
 GROUP BY 1, 2, 3""", "scheduled", "small_forecast", "monthly_forecast_filled"))
 def combine_account_forecasts(spark, sf):
     newest = T.read(spark, sf, "lineitem").select(fiscal.monday_of(F.max(F.to_date("l_shipdate")))).scalar()
-    combined = L.combine_account_forecasts(_real(spark, sf), zero_fill_inactive(spark, sf), _monthly_filled(spark, sf), newest)
+    combined = L.combine_account_forecasts(_of_population(spark, sf, False), zero_fill_inactive(spark, sf), _monthly_filled(spark, sf), newest)
     return combined.withColumn("forecast", F.round(F.col("forecast").cast("double"), 4))
 
 
@@ -230,7 +231,7 @@ def monthly_actuals_to_daily(spark, sf):
 SELECT account_id, CAST(forecast AS DOUBLE) AS forecast, week, train_date FROM scheduled
 WHERE train_date = (SELECT max(train_date) FROM scheduled)""", "scheduled"))
 def latest_train_date(spark, sf):
-    return L.latest_train_date(forecast_schedule(spark, sf))
+    return L.latest_train_date(A.forecast_schedule(predictions(spark, sf)))
 
 
 # --- A9 ----------------------------------------------------------------------------------
@@ -261,10 +262,15 @@ def forecast_without_monthly_accounts(spark, sf):
         C.MOVEMENT_FIRST, C.MOVEMENT_LAST)
 
 
+@shared
+def moving_forecast(spark, sf):
+    return stored(forecast_without_monthly_accounts(spark, sf))
+
+
 @query("actual_to_date_by_run", compose(_doubles("moving_actual"), "moving_actual"))
 def actual_to_date_by_run(spark, sf):
     usage = T.daily_usage(spark, sf)
-    return W.actual_to_date_by_run(usage, W.latest_mapping(usage), forecast_without_monthly_accounts(spark, sf), C.MOVEMENT_FIRST)
+    return W.actual_to_date_by_run(usage, W.latest_mapping(usage), moving_forecast(spark, sf), C.MOVEMENT_FIRST)
 
 
 @query("account_movement", compose(f"""
@@ -277,6 +283,6 @@ FROM (SELECT m.account_id, account_name, unit, sub_unit, run_date, CAST(forecast
     "moving_forecast", "mapping", "moving_actual"))
 def account_movement(spark, sf):
     mapping = W.latest_mapping(T.daily_usage(spark, sf))
-    ahead = forecast_without_monthly_accounts(spark, sf)
+    ahead = moving_forecast(spark, sf)
     ahead = ahead.withColumn("forecast", F.col("forecast").cast("double"))
     return W.account_movement(ahead, actual_to_date_by_run(spark, sf), mapping)

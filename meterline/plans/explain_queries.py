@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..operators import explain as X
 from ..sources import tables as T
+from ..sources.shared import shared, stored
 from . import account_queries  # noqa: F401  (its views are used below)
 from . import inputs as I
 from .oracle_inputs import VIEWS, compose, fiscal_code
@@ -72,14 +73,17 @@ def explain_features(spark, sf):
     return X.explain_features(quarter_outlook(spark, sf), I.account_week(spark, sf))
 
 
+@shared
+def features(spark, sf):
+    return stored(explain_features(spark, sf))
+
+
 @query("pending_vintages", compose("""
-SELECT DISTINCT train_date FROM explained WHERE train_date = (SELECT max(train_date) FROM account_predictions)""",
-                                   "explained", "account_predictions"))
+SELECT DISTINCT train_date FROM explained WHERE train_date = (SELECT max(train_date) FROM explained)""", "explained"))
 def pending_vintages(spark, sf):
-    features = explain_features(spark, sf)
-    predictions = I.account_predictions(spark, sf)
-    done = predictions.where(F.col("train_date") < predictions.select(F.max("train_date")).scalar())
-    return X.pending_vintages(features, done)
+    table = features(spark, sf)
+    done = table.where(F.col("train_date") < table.select(F.max("train_date")).scalar())
+    return X.pending_vintages(table, done)
 
 
 @query("vintage_quarter_labels", compose(
@@ -90,7 +94,7 @@ def vintage_quarter_labels(spark, sf):
 
 @query("linear_attribution", compose("SELECT * FROM contributions", "contributions"))
 def linear_attribution(spark, sf):
-    return X.linear_attribution(explain_features(spark, sf))
+    return X.linear_attribution(features(spark, sf))
 
 
 @query("explainer_master", compose("""

@@ -13,7 +13,7 @@ from ..operators import calendar as cal
 from ..operators import forecasting as M
 from ..operators import series as S
 from ..sources import tables as T
-from ..sources.shared import shared
+from ..sources.shared import shared, stored
 from . import inputs as I
 from . import series_queries as SQ
 from .oracle_inputs import compose, key
@@ -26,7 +26,7 @@ WINDOWS = (7, 28, 91)
 @shared
 def dense_units(spark, sf):
     """Daily unit series with a zero for every day without usage."""
-    series = S.daily_series(T.daily_usage(spark, sf), "unit")
+    series = stored(S.daily_series(T.daily_usage(spark, sf), "unit"))
     spine = cal.calendar_spine(series, "unit", "date")
     return (spine.join(series, ["unit", "date"], "left")
             .select("unit", "date", F.coalesce("dollars", F.lit(0).cast("decimal(18,4)")).alias("dollars")))
@@ -249,4 +249,4 @@ SELECT vintage, score_run_at, CAST((SELECT count(DISTINCT ts_key) FROM unit_fore
  count(*) AS found, count(*) = (SELECT count(DISTINCT ts_key) FROM unit_forecast) * {_H} AS complete
 FROM unit_forecast GROUP BY vintage, score_run_at""", "unit_forecast"))
 def completeness_check(spark, sf):
-    return M.completeness_check(I.unit_forecast(spark, sf), "ts_key", ["vintage", "score_run_at"], _H)
+    return M.completeness_check(stored(I.unit_forecast(spark, sf)), "ts_key", ["vintage", "score_run_at"], _H)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import accounts as A
 from ..operators import explain as X
 from ..operators import trees as R
+from ..sources.shared import shared, stored
 from . import explain_queries as E
 from . import inputs as I
 from .registry import query
@@ -15,9 +16,10 @@ from .registry import query
 STEPS = 2
 
 
+@shared
 def _panel(spark, sf):
     """Cleaned panel with population and usage ages."""
-    panel = I.account_week(spark, sf)
+    panel = stored(I.account_week(spark, sf))
     return A.usage_age_features(A.panel_clean(A.account_population(panel, A.inactive_accounts(panel))))
 
 
@@ -55,6 +57,6 @@ def direct_multi_horizon_forecast(spark, sf):
 @query("fit_and_attribute")
 def fit_and_attribute(spark, sf):
     """Contributions for the vintages that have no stored result yet."""
-    features = E.explain_features(spark, sf)
+    features = E.features(spark, sf)
     pending = [row["train_date"] for row in E.pending_vintages(spark, sf).collect()]  # at most one per week
     return R.fit_and_attribute(features, X.vintage_quarter_labels(features), pending)

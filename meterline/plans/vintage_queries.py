@@ -11,6 +11,7 @@ from ..operators import gold as G
 from ..operators import publishing as P
 from ..operators import vintages as V
 from ..sources import tables as T
+from ..sources.shared import shared, stored
 from . import inputs as I
 from .oracle_inputs import compose, fiscal_code, key, key_region, key_segment, month_start, quarter_end, quarter_start
 from .oracle_silver import AS_OF, select_view
@@ -21,6 +22,31 @@ FROZEN_BEFORE = dt.date(2000, 11, 1)
 _VALUES = "CAST(y AS DOUBLE) AS y, CAST(y_lower AS DOUBLE) AS y_lower, CAST(y_upper AS DOUBLE) AS y_upper"
 
 
+# Tables that a query reads more than once are written first, as their own jobs do.
+
+
+@shared
+def published(spark, sf):
+    return stored(I.unit_forecast(spark, sf))
+
+
+@shared
+def daily_forecast(spark, sf):
+    return V.forecast_daily_active(published(spark, sf))
+
+
+@shared
+def frozen_actuals(spark, sf):
+    return stored(V.freeze_actuals(I.usage_snapshots(spark, sf), V.new_vintages(published(spark, sf), None)))
+
+
+@shared
+def combined(spark, sf):
+    """Actuals of all three sources, stored: both accuracy tables read them."""
+    daily = V.actuals_latest_frozen(frozen_actuals(spark, sf))
+    return stored(V.actuals_combined(daily, actuals_public(spark, sf), actuals_private(spark, sf)))
+
+
 # --- A4 ----------------------------------------------------------------------------------
 
 
@@ -116,7 +142,7 @@ _SNAPSHOT_VIEWS = ("unit_forecast", "usage_snapshots", "monthly_usage", "unit_fo
 
 @query("quarter_snapshot", compose(f"{_SNAPSHOT} SELECT unit_key, {_BOUNDS}, vintage FROM snapshot", *_SNAPSHOT_VIEWS))
 def quarter_snapshot(spark, sf):
-    return P.quarter_snapshot(I.unit_forecast(spark, sf), I.model_forecast(spark, sf), I.usage_snapshots(spark, sf),
+    return P.quarter_snapshot(published(spark, sf), I.model_forecast(spark, sf), I.usage_snapshots(spark, sf),
                               I.monthly_usage(spark, sf), I.unit_forecast_monthly(spark, sf), "naive7")
 
 
@@ -139,7 +165,7 @@ r AS (SELECT position, display_name, {_ROUNDED} FROM residual WHERE vintage = (S
 SELECT * FROM r UNION ALL
 SELECT CAST(max(position) + 1 AS INTEGER), 'Total', {', '.join(f'CAST(sum({b}) AS BIGINT)' for b in P.BOUNDS)} FROM r""", *_SNAPSHOT_VIEWS))
 def report_table(spark, sf):
-    newest = I.unit_forecast(spark, sf).select(F.max("vintage")).scalar()
+    newest = published(spark, sf).select(F.max("vintage")).scalar()
     return P.report_table(carve_out_residual(spark, sf), newest)
 
 
@@ -156,7 +182,7 @@ def current_fiscal_period(spark, sf):
 @query("new_vintages", compose(f"""
 SELECT vintage, score_run_at, {fiscal_code('vintage')} AS fiscal_code FROM runs WHERE vintage >= DATE '{FROZEN_BEFORE}'""", "runs"))
 def new_vintages(spark, sf):
-    forecast = I.unit_forecast(spark, sf)
+    forecast = published(spark, sf)
     done = forecast.where(F.col("vintage") < F.lit(FROZEN_BEFORE)).withColumnRenamed("score_run_at", "pulled_at")
     return V.new_vintages(forecast, done)
 
@@ -168,7 +194,7 @@ def freeze_actuals(spark, sf):
 
 @query("actuals_latest_frozen", compose(select_view("actuals_daily"), "actuals_daily"))
 def actuals_latest_frozen(spark, sf):
-    return V.actuals_latest_frozen(freeze_actuals(spark, sf))
+    return V.actuals_latest_frozen(frozen_actuals(spark, sf))
 
 
 @query("actuals_public", compose(select_view("actuals_public"), "actuals_public"))
@@ -200,7 +226,7 @@ def forecast_daily_active(spark, sf):
 
 @query("pad_actuals", compose(select_view("padded"), "padded"))
 def pad_actuals(spark, sf):
-    return V.pad_actuals(forecast_daily_active(spark, sf), actuals_latest_frozen(spark, sf))
+    return V.pad_actuals(daily_forecast(spark, sf), actuals_latest_frozen(spark, sf))
 
 
 _LABELLED = (f"'future forecast' AS series, {{detail}} AS detail, 'future forecast - monthly' AS display, vintage, "
@@ -211,13 +237,13 @@ _LABELLED = (f"'future forecast' AS series, {{detail}} AS detail, 'future foreca
 @query("monthly_vintage_asof", compose(
     f"SELECT {_LABELLED.format(detail=chr(39) + V.AHEAD_MONTHLY + chr(39))}, monthly_vintage FROM monthly_asof", "monthly_asof"))
 def monthly_vintage_asof(spark, sf):
-    return V.monthly_vintage_asof(forecast_daily_active(spark, sf), I.unit_forecast_monthly(spark, sf))
+    return V.monthly_vintage_asof(daily_forecast(spark, sf), I.unit_forecast_monthly(spark, sf))
 
 
 @query("monthly_actuals_repeated", compose(
     f"SELECT {_LABELLED.format(detail='detail')} FROM monthly_actuals_repeated", "monthly_actuals_repeated"))
 def monthly_actuals_repeated(spark, sf):
-    return V.monthly_actuals_repeated(forecast_daily_active(spark, sf), actuals_private(spark, sf), actuals_public(spark, sf))
+    return V.monthly_actuals_repeated(daily_forecast(spark, sf), actuals_private(spark, sf), actuals_public(spark, sf))
 
 
 @query("monthly_repeated", compose(select_view("monthly_repeated"), "monthly_repeated"))
@@ -242,13 +268,13 @@ def plan_first_vintage(spark, sf):
 
 @query("model_first_vintage_by_quarter", compose("SELECT fiscal_code, first_vintage FROM model_first", "model_first"))
 def model_first_vintage_by_quarter(spark, sf):
-    return V.first_vintage_by_quarter(forecast_daily_active(spark, sf))
+    return V.first_vintage_by_quarter(I.unit_forecast(spark, sf).where("is_active"))
 
 
 @query("model_first_vintage_current", compose(
     "SELECT fiscal_code, first_vintage FROM model_first WHERE fiscal_code = (SELECT max(fiscal_code) FROM model_first)", "model_first"))
 def model_first_vintage_current(spark, sf):
-    return V.newest_quarter(model_first_vintage_by_quarter(spark, sf))
+    return V.newest_quarter(V.first_vintage_by_quarter(daily_forecast(spark, sf)))
 
 
 # --- A6 ----------------------------------------------------------------------------------
@@ -256,7 +282,7 @@ def model_first_vintage_current(spark, sf):
 
 @query("tall_table", compose(select_view("tall"), "tall"))
 def tall_table(spark, sf):
-    parts = (actuals_combined, monthly_repeated, forecast_daily_active, pad_actuals, plan_by_platform, plan_by_unit)
+    parts = (actuals_combined, monthly_repeated, daily_forecast, pad_actuals, plan_by_platform, plan_by_unit)
     return G.tall_table([build(spark, sf) for build in parts])
 
 
@@ -266,13 +292,13 @@ _ACCURACY_DOUBLES = ("SELECT * REPLACE (CAST(plan_dollars AS DOUBLE) AS plan_dol
 
 @query("accuracy_by_platform", compose(_ACCURACY_DOUBLES.format("accuracy_platform"), "accuracy_platform"))
 def accuracy_by_platform(spark, sf):
-    return G.accuracy_by_platform(actuals_combined(spark, sf), plan_by_platform(spark, sf), plan_first_vintage(spark, sf))
+    return G.accuracy_by_platform(combined(spark, sf), plan_by_platform(spark, sf), plan_first_vintage(spark, sf))
 
 
 @query("accuracy_by_unit", compose(_ACCURACY_DOUBLES.format("accuracy_unit"), "accuracy_unit"))
 def accuracy_by_unit(spark, sf):
-    return G.accuracy_by_unit(actuals_combined(spark, sf), plan_by_unit(spark, sf), plan_first_vintage(spark, sf),
-                              forecast_daily_active(spark, sf), I.unit_forecast_monthly(spark, sf), C.AS_OF)
+    return G.accuracy_by_unit(combined(spark, sf), plan_by_unit(spark, sf), plan_first_vintage(spark, sf),
+                              daily_forecast(spark, sf), I.unit_forecast_monthly(spark, sf), C.AS_OF)
 
 
 @query("quarter_to_date_accuracy", compose(_ACCURACY_DOUBLES.format("accuracy"), "accuracy"))
@@ -289,7 +315,7 @@ def monthly_first_vintage_in_quarter(spark, sf):
 @query("total_quarter_by_vintage", compose(select_view("quarter_totals"), "quarter_totals"))
 def total_quarter_by_vintage(spark, sf):
     monthly = actuals_private(spark, sf).unionByName(actuals_public(spark, sf))
-    return G.total_quarter_by_vintage(freeze_actuals(spark, sf), monthly, forecast_daily_active(spark, sf),
+    return G.total_quarter_by_vintage(frozen_actuals(spark, sf), monthly, daily_forecast(spark, sf),
                                       I.unit_forecast_monthly(spark, sf), C.AS_OF)
 
 
@@ -316,5 +342,5 @@ SELECT CAST({AS_OF} AS TIMESTAMP) AS refreshed_at,
  (SELECT CAST(max(date) + INTERVAL 1 MONTH + INTERVAL {C.CLOSE_LAG_DAYS} DAY AS DATE) FROM accuracy) AS accuracy_refresh_date""",
     "forecast_daily", "unit_forecast_monthly", "plan", "accuracy"))
 def dashboard_metadata(spark, sf):
-    return G.dashboard_metadata(forecast_daily_active(spark, sf), I.unit_forecast_monthly(spark, sf), I.plan(spark, sf),
+    return G.dashboard_metadata(daily_forecast(spark, sf), I.unit_forecast_monthly(spark, sf), I.plan(spark, sf),
                                 quarter_to_date_accuracy(spark, sf), C.AS_OF)

@@ -8,10 +8,15 @@ lives only as long as the build of one query, so no file listing is kept beyond
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
 from functools import wraps
 
+from pyspark.sql import DataFrame
+
+from ..session import shared_folder
+
 _BUILT: ContextVar[dict | None] = ContextVar("built", default=None)
 
 
@@ -42,3 +47,15 @@ def shared(build):
         return built[key]
 
     return once
+
+
+def stored(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Write a table that a query reads several times to the shared folder and read it back.
+
+    The raw usage behind it is then scanned once, plans above it stay short, later scans are
+    pruned to their columns, and a lost executor costs no recomputation of the raw part.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    (df.coalesce(partitions) if partitions else df).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
