@@ -46,9 +46,9 @@ def explain_features(outlook: DataFrame, panel: DataFrame, features=C.FEATURES)
     averages = outlook.select(
         "account_id", "train_date",
         F.col("current_forecast").cast("double").alias("current_forecast"),
-        F.round(F.col("current_forecast").cast("double") / F.col("current_weeks"), 6).alias("current_weekly_average"),
+        (F.col("current_forecast").cast("double") / F.col("current_weeks")).alias("current_weekly_average"),
         F.col("next_forecast").cast("double").alias("next_forecast"),
-        F.round(F.col("next_forecast").cast("double") / F.col("next_weeks"), 6).alias("next_weekly_average"))
+        (F.col("next_forecast").cast("double") / F.col("next_weeks")).alias("next_weekly_average"))
     return averages.join(weeks, ["account_id", "train_date"])
 
 

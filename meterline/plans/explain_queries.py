@@ -42,9 +42,9 @@ FROM (SELECT account_id, run_date AS train_date,
  FROM account_days GROUP BY 1, 2) WHERE n > 0""", ("account_days",)),
     "explained": (f"""
 SELECT o.account_id, o.train_date, CAST(current_forecast AS DOUBLE) AS current_forecast,
- round(CAST(current_forecast AS DOUBLE) / current_weeks, 6) AS current_weekly_average,
+ CAST(current_forecast AS DOUBLE) / current_weeks AS current_weekly_average,
  CAST(next_forecast AS DOUBLE) AS next_forecast,
- round(CAST(next_forecast AS DOUBLE) / next_weeks, 6) AS next_weekly_average, idle_12_weeks, real, {_FEATURES}
+ CAST(next_forecast AS DOUBLE) / next_weeks AS next_weekly_average, idle_12_weeks, real, {_FEATURES}
 FROM outlook o JOIN account_week p ON p.account_id = o.account_id AND p.week_start + 7 = o.train_date""",
                   ("outlook", "account_week")),
     "sliced": (f"""
