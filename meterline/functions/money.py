@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 AMOUNT = "decimal(18,4)"   # one usage row
 TOTAL = "decimal(28,4)"    # sums of them
 WIDE = "decimal(28,6)"     # means
+FINE = "decimal(30,9)"     # contributions: weight times a mean
 
 
 def mean_of(total: Column, rows: Column) -> Column:

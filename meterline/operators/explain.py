@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import fiscal
-from ..functions.money import WIDE, mean_of, rounded
+from ..functions.money import FINE, WIDE, mean_of
 from .movement import NAMES
 
 ROW = ("account_id", "train_date", "quarter_explained")
@@ -79,23 +79,27 @@ def linear_attribution(features: DataFrame, coefficients=None) -> DataFrame:
     weights = coefficients or C.LINEAR_COEFFICIENTS
     names = list(weights)
     filled = with_population(features).fillna(0, subset=names)
-    slices = ["train_date", "population"]
-    means = filled.groupBy(*slices).agg(
-        *[mean_of(F.sum(F.col(n).cast(WIDE)), F.count(F.lit(1))).cast("double").alias(f"mean_{n}") for n in names])
+    slice_key = F.concat_ws("|", "train_date", "population")
+    means = filled.groupBy(slice_key.alias("slice")).agg(F.struct(
+        *[mean_of(F.sum(F.col(n).cast(WIDE)), F.count(F.lit(1))).cast("double").alias(n) for n in names]).alias("mean"))
+    # two entries per vintage: they reach the rows as one map, so the rows are not shuffled on
+    # the few slice keys
+    by_slice = means.select(F.map_from_entries(F.collect_list(F.struct("slice", "mean")))).scalar()
     quarter = fiscal.fiscal_quarter("train_date")
     explained = F.array(
         F.named_struct(F.lit("label"), F.concat(F.lit("q"), quarter.cast("string")), F.lit("weight"), F.lit(1.0)),
         F.named_struct(F.lit("label"), F.concat(F.lit("q"), fiscal.next_quarter(quarter).cast("string")),
                        F.lit("weight"), F.lit(0.5)))
-    rows = filled.join(means, slices).withColumn("explained", F.explode(explained))
+    rows = (filled.withColumn("mean", F.try_element_at(by_slice, slice_key))
+            .withColumn("explained", F.explode(explained)))
     base = None
     for n in names:
-        part = F.lit(weights[n]) * F.col(f"mean_{n}")
+        part = F.lit(weights[n]) * F.col(f"mean.{n}")
         base = part if base is None else base + part
     wide = rows.select(
         "account_id", "train_date", F.col("explained.label").alias("quarter_explained"), "population",
-        F.round(base * F.col("explained.weight"), 4).alias("base_value"),
-        *[rounded(F.lit(weights[n]) * (F.col(n) - F.col(f"mean_{n}")) * F.col("explained.weight"), 4).alias(n)
+        (base * F.col("explained.weight")).alias("base_value"),
+        *[(F.lit(weights[n]) * (F.col(n) - F.col(f"mean.{n}")) * F.col("explained.weight") + 0.0).alias(n)
           for n in names])
     return wide.unpivot([*ROW, "population", "base_value"], names, "feature", "contribution")
 
@@ -131,7 +135,7 @@ def _share(part: Column, whole: Column) -> Column:
 
 
 def _exact(c: Column) -> Column:
-    return F.abs(c).cast(WIDE)
+    return F.abs(c).cast(FINE)
 
 
 def contribution_strength(labelled: DataFrame) -> DataFrame:
@@ -160,5 +164,5 @@ def kind_strength(labelled: DataFrame) -> DataFrame:
 
 def kind_direction(labelled: DataFrame) -> DataFrame:
     """Sign flag of the signed sum of each kind."""
-    sums = labelled.groupBy(*ROW, "kind").agg(F.sum(F.col("contribution").cast(WIDE)).alias("total"))
+    sums = labelled.groupBy(*ROW, "kind").agg(F.sum(F.col("contribution").cast(FINE)).alias("total"))
     return sums.select(*ROW, "kind", _direction(F.col("total")).alias("direction"))

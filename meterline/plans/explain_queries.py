@@ -26,8 +26,8 @@ def _weight(name: str) -> str:
 
 _BASE = " + ".join(f"{_weight(n)} * mean_{n}" for n in C.LINEAR_COEFFICIENTS)
 _LONG = " UNION ALL ".join(
-    f"SELECT account_id, train_date, quarter_explained, population, round(({_BASE}) * w, 4) AS base_value, '{n}' AS feature, "
-    f"round({_weight(n)} * (coalesce({n}, 0) - mean_{n}) * w, 4) + 0.0 AS contribution FROM sliced" for n in C.LINEAR_COEFFICIENTS)
+    f"SELECT account_id, train_date, quarter_explained, population, ({_BASE}) * w AS base_value, '{n}' AS feature, "
+    f"{_weight(n)} * (coalesce({n}, 0) - mean_{n}) * w + 0.0 AS contribution FROM sliced" for n in C.LINEAR_COEFFICIENTS)
 _CATALOG = ", ".join(f"('{n}', '{k}', {u})" for n, k, u in C.FEATURE_CATALOG)
 
 VIEWS.update({
@@ -113,7 +113,7 @@ def features_of_kind(spark, sf):
 
 
 _ROW = ", ".join(X.ROW)
-_ABS = "CAST(abs(contribution) AS DECIMAL(28,6))"
+_ABS = "CAST(abs(contribution) AS DECIMAL(30,9))"
 
 
 @query("contribution_strength", compose(f"""
@@ -139,6 +139,6 @@ def kind_strength(spark, sf):
 
 @query("kind_direction", compose(f"""
 SELECT {_ROW}, kind, CASE WHEN s > 0 THEN 1 WHEN s <= 0 THEN 0 END AS direction
-FROM (SELECT {_ROW}, kind, sum(CAST(contribution AS DECIMAL(28,6))) AS s FROM labelled GROUP BY ALL)""", "labelled"))
+FROM (SELECT {_ROW}, kind, sum(CAST(contribution AS DECIMAL(30,9))) AS s FROM labelled GROUP BY ALL)""", "labelled"))
 def kind_direction(spark, sf):
     return X.kind_direction(features_of_kind(spark, sf))

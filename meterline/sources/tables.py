@@ -92,9 +92,18 @@ def monthly_public(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _monthly(spark, sf_dir, F.col("account_balance") < 0)
 
 
-def rule_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A config table; its size is that of the config, not of the data."""
-    return spark.createDataFrame(rows, schema=schema)
+MAX_RULES = 10_000
+
+
+def rule_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
+    """A config table. Its size is that of the config, never of the data, so it may be broadcast.
+
+    Without the hint Spark knows no size for rows that come from Python and would shuffle the
+    large side on the few keys of the rules.
+    """
+    if len(rows) > MAX_RULES:
+        raise ValueError("rules are config; store a table of this size instead")
+    return F.broadcast(spark.createDataFrame(rows, schema=schema))
 
 
 def feature_catalog(spark: SparkSession) -> DataFrame:
@@ -111,5 +120,5 @@ def curves(spark: SparkSession) -> DataFrame:
     for unit, cohort, *settings in C.CURVES:
         by_unit.setdefault(unit, {})[cohort] = tuple(settings)
     rows = [(unit, *[by_unit[unit][y] for y in C.CURVE_COHORTS]) for unit in by_unit]
-    return spark.createDataFrame(rows, schema)
+    return rule_table(spark, rows, schema)
 
