@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import shared_folder
 from ..sources.shared import stored
 
-__all__ = ["table", "fold", "slices", "col", "keep_columns", "stored", "shared_folder", "words_of", "SPACE"]
+__all__ = ["table", "fold", "slices", "col", "keep_columns", "stored", "shared_folder", "words_of", "map_texts", "SPACE"]
 
 #: What separates words in all operators that split on ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -49,3 +52,27 @@ def slices(lengths, budget: int) -> Iterator[tuple[int, int]]:
         used += n
     if start < len(lengths):
         yield start, len(lengths)
+
+
+def map_texts(df: DataFrame, text: str, keep: list[str], fields: list[tuple[str, str]],
+              work: Callable[[list[str | None]], list], budget: int = 1_500_000) -> DataFrame:
+    """Columns ``keep`` of every row, unchanged, and the columns that ``work`` makes from its text.
+
+    ``work`` gets the texts of some rows, about ``budget`` characters together (null: None), and
+    returns a list of values for each of ``fields`` (name, type). Runs in tasks, without a shuffle.
+    """
+    made = [T.StructField(name, T._parse_datatype_string(kind)) for name, kind in fields]
+    kept = [df.schema[name] for name in keep]
+    arrow = [to_arrow_type(f.dataType) for f in made]
+    names = [*keep, *(name for name, _ in fields)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *keys, last = batch.columns
+            lengths = [x.as_buffer().size if x.is_valid else 0 for x in last] if len(last) else []
+            for lo, hi in slices(lengths, budget):
+                columns = work(last.slice(lo, hi - lo).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [k.slice(lo, hi - lo) for k in keys] + [pa.array(c, type=t) for c, t in zip(columns, arrow)], names=names)
+
+    return df.select(*[col(n) for n in keep], col(text)).mapInArrow(run, T.StructType([*kept, *made]))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import chat_formatting, quality_rules
+from . import chat_formatting, language_id, quality_rules, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,15 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_li
 def op10(spark, sf_dir):
     """Measurements, failure bits and the verdict of the policy in force."""
     return quality_rules.with_verdict(quality_rules.ledger(table(spark, sf_dir, "documents")))
+
+
+@query("op4_toxicity")
+def op4(spark, sf_dir):
+    """Toxicity of every document, learned outside the held-out third."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_language_id")
+def op8(spark, sf_dir):
+    """Language of every document, learned outside the held-out fifth."""
+    return language_id.language_id(table(spark, sf_dir, "documents"))
