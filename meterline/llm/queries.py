@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import chat_formatting, language_id, quality_rules, toxicity
+from . import chat_formatting, language_id, quality_rules, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,9 @@ def op4(spark, sf_dir):
 def op8(spark, sf_dir):
     """Language of every document, learned outside the held-out fifth."""
     return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
+@query("op2_simhash")
+def op2(spark, sf_dir):
+    """Fingerprint and near-duplicate group of every document."""
+    return simhash.simhash(table(spark, sf_dir, "documents"))

@@ -1,8 +1,8 @@
 """Toxic spans by a linear-chain conditional random field.
 
-``labels`` marks documents, not tokens, so tokens are labelled first: the fewest word and affix
-features that explain the toxic documents of the sample and stay out of the clean ones are chosen
-greedily, and a token of a toxic document that has such a feature is a toxic token. On these labelled
+``labels`` marks documents, not tokens, so tokens are labelled first: word and affix features that the
+toxic documents of the sample have far more often than the clean ones (by log-likelihood ratio, copies
+counted once) are looked up, and a token of a toxic document that has such a feature is a toxic token. On these labelled
 tokens the field is trained; its forward-backward marginals say how likely each word of a text is
 toxic in its context. The score of a document is a logistic function of its largest marginal and its
 expected number of toxic words, fitted on the same sample and weighted to the share of toxic documents
@@ -33,9 +33,9 @@ from .samples import labelled_ids, texts_of
 SAMPLE, TRAIN_WORDS = 1500, 250_000
 #: Characters of text handled at once in a task.
 BATCH_CHARS = 1_500_000
-FEATURES = crf.Features(bits=17, prefixes=(3, 4, 5), suffixes=(3, 4))
-#: Columns of the feature matrix that may mark a token: the word, its first four and five characters.
-MARKING = (0, 2, 3)
+FEATURES = crf.Features(bits=18, prefixes=(4, 5, 6, 7), suffixes=(3, 4))
+#: Columns of the feature matrix that may mark a token: the word and its first four to seven characters.
+MARKING = (0, 1, 2, 3, 4)
 FIELDS = [("score", "double"), ("n_toxic_words", "long"), ("spans", "array<struct<start:int,end:int,p:double>>")]
 
 
@@ -63,29 +63,43 @@ def summaries(model: crf.Model, texts: list[str]):
     return np.stack([np.ones(len(texts)), np.log(top / (1 - top)), np.log1p(total)], 1), p, counts
 
 
-def marking_features(slots: np.ndarray, codes: np.ndarray, counts: np.ndarray, toxic: np.ndarray) -> set[int]:
-    """Greedy cover of the toxic documents by features that clean documents hardly have."""
+def not_copies(codes: np.ndarray, counts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Documents that share none of three minimum hashes of their long words with an earlier one.
+
+    Words of a document that is copied many times would pass for words of toxic documents.
+    """
+    kept = np.ones(len(counts), bool)
+    doc = np.repeat(np.arange(len(counts)), counts)
+    long = lengths[codes] >= 7
+    for salt in (1, 2, 3):
+        h = (codes.astype(np.uint64) + np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        low = np.full(len(counts), np.iinfo(np.uint64).max, np.uint64)
+        np.minimum.at(low, doc[long], h[long])
+        has = np.nonzero(low != np.iinfo(np.uint64).max)[0]
+        first = np.unique(low[has], return_index=True)[1]
+        seen = np.ones(len(has), bool)
+        seen[first] = False
+        kept[has[seen]] = False
+    return kept
+
+
+def marking_features(slots: np.ndarray, codes: np.ndarray, counts: np.ndarray, toxic: np.ndarray,
+                     lengths: np.ndarray, least_g: float = 14.0, least_ratio: float = 20.0) -> np.ndarray:
+    """Features that toxic documents have far more often than clean ones (log-likelihood ratio and ratio of shares)."""
+    use = not_copies(codes, counts, lengths) | ~toxic
     doc = np.repeat(np.arange(len(counts)), counts)
-    chosen: set[int] = set()
     width = int(slots.max(initial=0)) + 1
     pairs = np.unique(np.concatenate([doc * np.int64(width) + slots[codes, c] for c in range(slots.shape[1])]))
     d, f = pairs // width, pairs % width
-    d, f = d[f > 0], f[f > 0]
-    n_toxic, n_clean = int(toxic.sum()), int((~toxic).sum())
-    against = np.bincount(f[~toxic[d]], minlength=width) / max(1, n_clean)
-    left = toxic.copy()
-    least = max(2, n_toxic // 500)
-    while left.any():
-        on = left[d]
-        found = np.bincount(f[on], minlength=width)
-        gain = found / max(1, n_toxic) - 4 * against
-        gain[found < least] = -1
-        best = int(gain.argmax())
-        if gain[best] <= 0:
-            break
-        chosen.add(best)
-        left[d[on & (f == best)]] = False
-    return chosen
+    d, f = d[(f > 0) & use[d]], f[(f > 0) & use[d]]
+    n1, n0 = int((toxic & use).sum()), int((~toxic & use).sum())
+    a, b = np.bincount(f[toxic[d]], minlength=width), np.bincount(f[~toxic[d]], minlength=width)
+    both = a + b
+    with np.errstate(divide="ignore", invalid="ignore"):
+        g = 2 * (np.where(a, a * np.log(a * (n1 + n0) / (both * n1)), 0) + np.where(b, b * np.log(b * (n1 + n0) / (both * n0)), 0))
+    ratio = ((a + 0.5) / (n1 + 1)) / ((b + 0.5) / (n0 + 1))
+    return np.nonzero((a >= 2) & (g >= least_g) & (ratio >= least_ratio))[0]
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1) -> Scorer:
@@ -103,7 +117,8 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1) -
     slots = np.zeros((len(distinct), len(MARKING)), np.int32)
     for at, ids in FEATURES.of(distinct):
         slots[at] = ids[:, MARKING]
-    marks = np.isin(slots, list(marking_features(slots, codes, counts, toxic))).any(1)
+    lengths = np.fromiter(map(len, distinct), np.int64, len(distinct))
+    marks = np.isin(slots, marking_features(slots, codes, counts, toxic, lengths)).any(1)
     tokens = (marks[codes] & np.repeat(toxic, counts)).astype(np.int64)
     # whole documents, toxic and clean in turn, up to the bound
     turn = np.argsort(np.where(toxic, np.cumsum(toxic), np.cumsum(~toxic)), kind="stable")
