@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import chat_formatting, language_id, quality_rules, simhash, toxicity
+from . import chat_formatting, language_id, quality_classifier, quality_rules, secret_scan, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,15 @@ def op8(spark, sf_dir):
 def op2(spark, sf_dir):
     """Fingerprint and near-duplicate group of every document."""
     return simhash.simhash(table(spark, sf_dir, "documents"))
+
+
+@query("op6_secret_scan")
+def op6(spark, sf_dir):
+    """Secrets of every document."""
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op9_quality_classifier")
+def op9(spark, sf_dir):
+    """Quality of every document, learned outside the held-out fifth."""
+    return quality_classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
