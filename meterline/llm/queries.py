@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import chat_formatting, language_id, quality_classifier, quality_rules, secret_scan, simhash, toxicity
+from . import chat_formatting, html_extraction, language_id, quality_classifier, quality_rules, secret_scan, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,9 @@ def op6(spark, sf_dir):
 def op9(spark, sf_dir):
     """Quality of every document, learned outside the held-out fifth."""
     return quality_classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op1_html_extraction")
+def op1(spark, sf_dir):
+    """Main text of every page."""
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
