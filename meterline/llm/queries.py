@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import chat_formatting, html_extraction, language_id, quality_classifier, quality_rules, secret_scan, simhash, toxicity
+from . import chat_formatting, decontamination, html_extraction, language_id, quality_classifier, quality_rules, secret_scan, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,28 @@ def op9(spark, sf_dir):
 def op1(spark, sf_dir):
     """Main text of every page."""
     return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT DISTINCT doc_id, text, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
+i AS (SELECT item_id, w, least(len(w), 5) AS size, len(w) - least(len(w), 5) + 1 AS m FROM b WHERE len(w) > 0),
+ig AS (SELECT item_id, size, m, array_to_string(w[k:k + size - 1], ' ') AS g FROM (SELECT *, unnest(range(1, m + 1)) AS k FROM i)),
+ic AS (SELECT item_id, size, m, g, count(*) AS c FROM ig GROUP BY ALL),
+dg AS (SELECT doc_id, text, size, n, k - 1 AS p, array_to_string(w[k:k + size - 1], ' ') AS g FROM (
+  SELECT doc_id, text, w, size, len(w) - size + 1 AS n, unnest(range(1, len(w) - size + 2)) AS k FROM d, (SELECT DISTINCT size FROM i) WHERE len(w) >= size)),
+s AS (SELECT DISTINCT doc_id, text, item_id, size, m, n, least(p, greatest(0, n - m)) AS start FROM dg JOIN ic USING (size, g)),
+o AS (SELECT s.doc_id, s.text, s.item_id, s.size, s.m, s.n, s.start, dg.g, count(*) AS c
+  FROM s JOIN dg ON dg.doc_id = s.doc_id AND dg.text = s.text AND dg.size = s.size AND dg.p BETWEEN s.start AND s.start + s.m - 1 GROUP BY ALL),
+q AS (SELECT o.doc_id, o.text, o.item_id, o.size, o.m, least(o.n, o.m) AS k, o.start, CAST(sum(least(o.c, ic.c)) AS DOUBLE) AS shared
+  FROM o JOIN ic ON ic.item_id = o.item_id AND ic.size = o.size AND ic.g = o.g GROUP BY ALL),
+r AS (SELECT *, shared / (m + k - shared) AS similarity FROM q)
+SELECT doc_id, item_id, start AS start_word, k + size - 1 AS n_words, similarity FROM r WHERE similarity >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, text, item_id ORDER BY similarity DESC, start) = 1
+"""
+
+
+@query("op7_decontamination", OP7_SQL)
+def op7(spark, sf_dir):
+    """Benchmark items in documents: the best window of each."""
+    return decontamination.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
