@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from ..session import shared_folder
 from ..sources.shared import stored
 
-__all__ = ["table", "fold", "slices", "col", "keep_columns", "stored", "shared_folder", "words_of", "map_texts", "SPACE"]
+__all__ = ["table", "fold", "slices", "col", "keep_columns", "unused", "stored", "shared_folder", "words_of", "map_texts", "SPACE"]
 
 #: What separates words in all operators that split on ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -28,6 +28,14 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with underscores added until no column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keep_columns(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[col(n) for n in names])
 
@@ -65,14 +73,15 @@ def map_texts(df: DataFrame, text: str, keep: list[str], fields: list[tuple[str,
     kept = [df.schema[name] for name in keep]
     arrow = [to_arrow_type(f.dataType) for f in made]
     names = [*keep, *(name for name, _ in fields)]
+    at = keep.index(text) if text in keep else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            *keys, last = batch.columns
+            keys, last = batch.columns[: len(keep)], batch.column(at)
             lengths = [x.as_buffer().size if x.is_valid else 0 for x in last] if len(last) else []
             for lo, hi in slices(lengths, budget):
                 columns = work(last.slice(lo, hi - lo).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [k.slice(lo, hi - lo) for k in keys] + [pa.array(c, type=t) for c, t in zip(columns, arrow)], names=names)
 
-    return df.select(*[col(n) for n in keep], col(text)).mapInArrow(run, T.StructType([*kept, *made]))
+    return df.select(*[col(n) for n in keep], *([] if text in keep else [col(text)])).mapInArrow(run, T.StructType([*kept, *made]))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import chat_formatting, decontamination, html_extraction, language_id, quality_classifier, quality_rules, secret_scan, simhash, toxicity
+from . import chat_formatting, decontamination, html_extraction, language_id, mixing, quality_classifier, quality_rules, secret_scan, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,10 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, text, item_id ORDER BY similarit
 def op7(spark, sf_dir):
     """Benchmark items in documents: the best window of each."""
     return decontamination.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+@query("op3_mixing")
+def op3(spark, sf_dir):
+    """Rate of every document for the target weights of the domains that labels name."""
+    known = mixing.domain_of(table(spark, sf_dir, "labels"))
+    return mixing.mix(table(spark, sf_dir, "documents"), known, mixing.TARGETS, ["doc_id"])

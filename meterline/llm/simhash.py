@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, stored
+from .common import col, keep_columns, map_texts, stored, unused
 from .components import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -218,17 +218,33 @@ def links(distinct: DataFrame) -> DataFrame:
     return units.repartition("unit").sortWithinPartitions("unit").mapInPandas(verify, "a long, b long").where("a <> b").distinct()
 
 
+def roots(distinct: DataFrame) -> DataFrame:
+    """fp and root (the smallest fingerprint of its group as a number) of every distinct fingerprint."""
+    labels = components(links(distinct)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
+    return distinct.select("fp").join(labels, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fp and component_id (smallest doc_id reachable) of every row."""
     fps = stored(fingerprints(docs))
     distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    labels = components(links(distinct)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
-    member = distinct.join(labels, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    member = distinct.join(roots(distinct), "fp")
     lowest = member.groupBy("root").agg(F.min("low").alias("component_id"))
     of = member.select("fp", "root").join(lowest, "root").select("fp", "component_id")
     return fps.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of each group, with all columns: the one with the smallest doc_id (null last; of repeated ids any one)."""
+    fp, row = unused(docs, "fp"), unused(docs, "row")
+    base = stored(map_texts(docs, "text", docs.columns, [(fp, "long")], lambda texts: [[fingerprint(t) for t in texts]])
+                  .withColumn(row, F.monotonically_increasing_id()))
+    first = F.min(F.struct(F.isnull(col("doc_id")).alias("none"), col("doc_id").alias("doc_id"), col(row).alias("row"))).alias("first")
+    lows = stored(base.groupBy(col(fp).alias("fp")).agg(first))
+    kept = lows.join(roots(lows), "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    return keep_columns(base.join(kept, row, "left_semi"), docs.columns)
+
+
 def simhash(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits), component_id."""
     return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

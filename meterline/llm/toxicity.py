@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import crf
-from .common import fold, map_texts
+from .common import fold, keep_columns, map_texts, unused
 from .samples import labelled_ids, texts_of
 
 #: Most documents of each label in the sample, and most words the field is trained on.
@@ -172,3 +172,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Data
     return scored.select(
         "doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
         F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"), "n_toxic_words", "spans")
+
+
+def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` with a score under the threshold, with all their columns."""
+    scorer, name = fit(docs, labels), unused(docs, "score")
+    scored = map_texts(docs, "text", docs.columns, [(name, "double")], lambda texts: _scored([t or "" for t in texts], scorer)[:1], BATCH_CHARS)
+    return keep_columns(scored.where(F.col(name) < threshold), docs.columns)
