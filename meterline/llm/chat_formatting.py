@@ -45,7 +45,7 @@ def format_conversations(turns: DataFrame) -> DataFrame:
         "conv_id",
         F.transform("t", lambda x: F.struct(
             (x["role"] == "assistant").alias("reply"),
-            F.concat(F.lit(TURN), F.regexp_replace(escape(x["role"]), "\n", "\\\\\\\\\n"), F.lit("\n")).alias("head"),
+            F.concat(F.lit(TURN), F.regexp_replace(escape(x["role"]), "\n", "\\\\\n"), F.lit("\n")).alias("head"),
             escape(x["text"]).alias("body"),
         )).alias("t"),
     ).withColumn("n", F.size("t"))

@@ -69,10 +69,11 @@ def map_texts(df: DataFrame, text: str, keep: list[str], fields: list[tuple[str,
     ``work`` gets the texts of some rows, about ``budget`` characters together (null: None), and
     returns a list of values for each of ``fields`` (name, type). Runs in tasks, without a shuffle.
     """
-    made = [T.StructField(name, T._parse_datatype_string(kind)) for name, kind in fields]
-    kept = [df.schema[name] for name in keep]
+    made = [T.StructField(f"m{i}", T._parse_datatype_string(kind)) for i, (_, kind) in enumerate(fields)]
+    # plain names inside: mapInArrow looks columns up by name, which fails for names with a dot
+    kept = [T.StructField(f"c{i}", df.schema[name].dataType) for i, name in enumerate(keep)]
     arrow = [to_arrow_type(f.dataType) for f in made]
-    names = [*keep, *(name for name, _ in fields)]
+    names = [*(f.name for f in kept), *(f.name for f in made)]
     at = keep.index(text) if text in keep else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,4 +85,6 @@ def map_texts(df: DataFrame, text: str, keep: list[str], fields: list[tuple[str,
                 yield pa.RecordBatch.from_arrays(
                     [k.slice(lo, hi - lo) for k in keys] + [pa.array(c, type=t) for c, t in zip(columns, arrow)], names=names)
 
-    return df.select(*[col(n) for n in keep], *([] if text in keep else [col(text)])).mapInArrow(run, T.StructType([*kept, *made]))
+    given = [col(n).alias(f.name) for n, f in zip(keep, kept)] + ([] if text in keep else [col(text).alias("t")])
+    out = df.select(*given).mapInArrow(run, T.StructType([*kept, *made]))
+    return out.toDF(*keep, *(name for name, _ in fields))

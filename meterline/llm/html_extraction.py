@@ -18,6 +18,7 @@ extracted each on their own; null ids and urls are kept. Only ``page_id``, ``url
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
@@ -68,11 +69,15 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html", {}, None)
         self.open = [self.root]
+        self.depth = Counter()  # open elements by tag; spares the search for one that is not open
 
     def _close(self, tags, stop) -> None:
+        if not any(self.depth[t] for t in tags):
+            return
         for i in range(len(self.open) - 1, 0, -1):
             tag = self.open[i].tag
             if tag in tags:
+                self.depth.subtract(n.tag for n in self.open[i:])
                 del self.open[i:]
                 return
             if tag in stop:
@@ -87,6 +92,7 @@ class _Builder(HTMLParser):
         self.open[-1].kids.append(node)
         if tag not in VOID:
             self.open.append(node)
+            self.depth[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)

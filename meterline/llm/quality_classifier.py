@@ -108,7 +108,7 @@ def _normal_equations(rows: DataFrame, scorer: Scorer) -> tuple[np.ndarray, np.n
             total += z.T @ np.c_[z, frame["label"].to_numpy(np.float64)]
         yield pd.DataFrame({"i": np.arange(WIDTH + 1), "v": list(total)})
 
-    def add(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def add(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"i": [key[0]], "v": [np.sum(np.stack(frame["v"]), 0)]})
 
     parts = rows.mapInPandas(sums, "i int, v array<double>")

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import words_of
+from .common import stored, words_of
 
 #: Rules in the order of their bits. Each gets the measurements and is true where a document fails.
 RULES: dict[str, object] = {
@@ -88,7 +88,8 @@ def ledger(docs: DataFrame) -> DataFrame:
     bits = F.lit(0).cast("long")
     for k, rule in enumerate(RULES.values()):
         bits = bits + F.when(rule(F.col), F.lit(1 << k)).otherwise(0).cast("long")
-    return rows.withColumn("fail_bits", bits)
+    # written once: policies and filters on it read the table and never evaluate a rule again
+    return stored(rows.withColumn("fail_bits", bits))
 
 
 def with_verdict(rows: DataFrame, version: str | None = None) -> DataFrame:
