@@ -37,12 +37,17 @@ def _small_star(links: DataFrame) -> DataFrame:
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Links (a, b) to (a, b): every linked node but the smallest of its component, and that smallest node."""
     now = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
+
+    def state() -> tuple:
+        return tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+    before = state()
+    if not before[0]:
+        return now
     for _ in range(most_rounds):
         now = stored(_small_star(_large_star(now)))
-        # done when the links are stars, the same as in the round before
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
+        after = state()
+        if after == before:  # stars, which a round leaves as they are
             return now
-        before = state
+        before = after
     raise RuntimeError(f"no end of the rounds after {most_rounds}")

@@ -131,7 +131,7 @@ def thresholds(distinct: DataFrame, groups: list[list[int]]) -> tuple[float, lis
         F.sum(F.col("n").cast("double") * F.col("n")).alias("pairs"), F.sum("n").alias("n")).collect()}
     cost = []
     for p, g in enumerate(groups):
-        pairs, n = told.get(p, (0.0, 0.0))
+        pairs, n = told.get(p, (0.0, 1.0))  # an empty table: the fewest rows sent
         cost.append([0.0] + [len(_masks(g, t)) * (pairs / 2 + ROW_COST * n) for t in range(RADIUS + 1)])
     # best[s]: cheapest way for the first partitions to have thresholds + 1 adding up to s
     best: list[tuple[float, list[int]]] = [(0.0, [])] + [(float("inf"), [])] * (RADIUS + 1)

