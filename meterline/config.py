@@ -51,6 +51,7 @@ LAST_MONTHLY_VINTAGE = dt.date(2001, 1, 1)
 FIRST_PLAN_QUARTER = dt.date(1999, 2, 1)     # fiscal quarters of 2000 and 2001
 LAST_PLAN_QUARTER = dt.date(2000, 11, 1)
 PANEL_WEEKS = 104
+PRIVATE_FROM, PUBLIC_BELOW = 6000, 3000      # balances of accounts on private and public contracts; the rest report daily only
 ACCOUNT_VINTAGES = 6
 ACCOUNT_FIXTURE_WEEKS = 8
 OUTLOOK_WEEKS = 26
@@ -62,15 +63,15 @@ MOVEMENT_LAST = dt.date(2001, 10, 31)
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 SEGMENT_REGIONS = ("AFRICA", "AMERICA", "MIDDLE_EAST")   # planned by region and segment
 FOLDED_REGIONS = ("ASIA", "EUROPE")                      # planned as a whole
-REGION_RENAME = {"ASIA": "APAC"}
-FOLDED_RENAMED = ("APAC", "EUROPE")
+REGION_RENAME = {"ASIA": "ASIA PACIFIC"}
+FOLDED_RENAMED = ("ASIA PACIFIC", "EUROPE")
 
 # Ordered substring rules on the forecast key; the first match wins.
 REGION_RULES = (
     ("%africa%", "AFRICA"),
     ("%america%", "AMERICA"),
     ("%middle_east%", "MIDDLE_EAST"),
-    ("%asia%", "APAC"),
+    ("%asia%", "ASIA PACIFIC"),
     ("%europe%", "EUROPE"),
 )
 SEGMENT_RULES = (
@@ -81,10 +82,10 @@ SEGMENT_RULES = (
     ("%machinery%", "MACHINERY"),
     ("%all%", "All"),
 )
-NO_REGION, NO_SEGMENT, NO_PLATFORM, NO_SKU = "No Region", "No Segment", "No Platform", "No SKU"
+NO_REGION, NO_SEGMENT, NO_PLATFORM, NO_SKU = "region unknown", "segment unknown", "all platforms", "all products"
 
 # One sub-unit of one unit is forecast on its own and folded back into its parent.
-CARVE_OUT_KEY = "HOUSEHOUSE"
+CARVE_OUT_KEY = "SINGLE_1"
 CARVE_OUT_PARENT = "AMERICAAUTOMOBILE"
 CARVE_OUT_SEGMENT = "AUTOMOBILE"
 CARVE_OUT_SUB_UNIT = "AMERICA_NATION_1"
@@ -95,7 +96,7 @@ UNITS = tuple(f"{r} {s}" for r in SEGMENT_REGIONS for s in SEGMENTS) + FOLDED_RE
 UNIT_ORDER = (
     tuple((r + s, f"{r} {s}") for r in SEGMENT_REGIONS for s in SEGMENTS)
     + tuple((r + "ALL", r) for r in FOLDED_REGIONS)
-    + ((CARVE_OUT_KEY, "HOUSE ACCOUNT"),)
+    + ((CARVE_OUT_KEY, "SINGLE UNIT 1"),)
 )
 
 # Growth curves per unit and cohort year: (kind, c0, c1, c2, c3, c4) over the row number.
@@ -113,17 +114,17 @@ CURVES = tuple(
 # Calendar events as (name, month, day), repeated every year of the data.
 EVENT_RULES = (
     ("new_year", 1, 1),
-    ("kickoff", 2, 5),
+    ("spring_fair", 4, 11),
     ("midyear", 7, 1),
-    ("summit", 6, 23),
+    ("harvest", 9, 17),
     ("year_end", 12, 31),
 )
 EVENT_DAYS_AROUND = 2
 
 # Additive corrections of the target: (first day, last day, delta).
 ADJUSTMENTS = (
-    (dt.date(1998, 3, 22), dt.date(1998, 12, 13), 2000.0),
-    (dt.date(1998, 12, 1), dt.date(1999, 1, 15), -500.0),
+    (dt.date(1996, 5, 6), dt.date(1996, 8, 18), 1250.0),
+    (dt.date(1996, 8, 1), dt.date(1996, 10, 31), -350.0),
 )
 
 # Feature catalog of the explainer: (feature, kind, in use).

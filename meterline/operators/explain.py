@@ -117,7 +117,9 @@ def account_names(usage: DataFrame, private: DataFrame, public: DataFrame, lates
     if not latest:
         return rows.select("account_id", *NAMES).distinct()
     newest = F.max_by(F.struct(*NAMES), F.struct(F.col("date"), *NAMES)).alias("newest")
-    return rows.groupBy("account_id").agg(newest).select("account_id", "newest.*")
+    # newest date of each combination first: a hash aggregate over the raw rows, the sorted one sees few
+    dated = rows.groupBy("account_id", *NAMES).agg(F.max("date").alias("date"))
+    return dated.groupBy("account_id").agg(newest).select("account_id", "newest.*")
 
 
 def explainer_master(contributions: DataFrame, names: DataFrame) -> DataFrame:

@@ -21,7 +21,9 @@ def account_mapping(usage: DataFrame) -> DataFrame:
 def latest_mapping(usage: DataFrame) -> DataFrame:
     """One row per account, by its newest usage: a renamed account repeats no rows."""
     newest = F.max_by(F.struct(*NAMES), F.struct(F.col("date"), *NAMES)).alias("newest")
-    return usage.groupBy("account_id").agg(newest).select("account_id", "newest.*")
+    # newest date of each combination first: a hash aggregate over the raw rows, the sorted one sees few
+    dated = usage.groupBy("account_id", *NAMES).agg(F.max("date").alias("date"))
+    return dated.groupBy("account_id").agg(newest).select("account_id", "newest.*")
 
 
 def forecast_without_monthly_accounts(forecast: DataFrame, private: DataFrame, public: DataFrame,

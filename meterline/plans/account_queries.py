@@ -49,10 +49,11 @@ SELECT e.account_id, last_day(CAST(e.last_month + to_months(CAST(k AS INTEGER))
 FROM eligible e JOIN (SELECT account_id, sum(dollars) AS total, count(*) AS n FROM monthly_usage GROUP BY account_id) s
  ON s.account_id = e.account_id, generate_series(1, {C.ACCOUNT_MONTH_HORIZON}) g(k)""", ("eligible", "monthly_usage")),
     "month_weeks": ("""
-SELECT account_id, CAST(date_trunc('week', d) AS DATE) AS week, train_date,
- CAST(sum(f) AS DECIMAL(28,6)) AS forecast FROM (
- SELECT account_id, train_date, d, CAST(forecast AS DOUBLE) / day(date) AS f
- FROM account_months, generate_series(CAST(date_trunc('month', date) AS TIMESTAMP), CAST(date AS TIMESTAMP), INTERVAL 1 DAY) g(d))
+SELECT account_id, week, train_date, CAST(sum(f) AS DECIMAL(28,6)) AS forecast FROM (
+ SELECT account_id, train_date, date, forecast, CAST(date_trunc('week', d) AS DATE) AS week,
+  CAST(CAST(forecast AS DOUBLE) * count(*) / day(date) AS DECIMAL(28,6)) AS f
+ FROM account_months, generate_series(CAST(date_trunc('month', date) AS TIMESTAMP), CAST(date AS TIMESTAMP), INTERVAL 1 DAY) g(d)
+ GROUP BY account_id, train_date, date, forecast, CAST(date_trunc('week', d) AS DATE))
 GROUP BY 1, 2, 3""", ("account_months",)),
     "monthly_forecast_filled": ("""
 SELECT account_id, forecast, week, train_date FROM month_weeks
@@ -146,9 +147,9 @@ def account_monthly_forecast(spark, sf):
 
 
 @query("month_to_week", compose(
-    "SELECT account_id, week, train_date, round(CAST(forecast AS DOUBLE), 4) AS forecast FROM month_weeks", "month_weeks"))
+    "SELECT account_id, week, train_date, CAST(forecast AS DOUBLE) AS forecast FROM month_weeks", "month_weeks"))
 def month_to_week(spark, sf):
-    return L.month_to_week(I.account_months(spark, sf)).withColumn("forecast", F.round(F.col("forecast").cast("double"), 4))
+    return L.month_to_week(I.account_months(spark, sf))
 
 
 def _monthly_filled(spark, sf):
@@ -157,14 +158,14 @@ def _monthly_filled(spark, sf):
 
 
 @query("zero_fill_unforecast", compose(
-    "SELECT account_id, round(CAST(forecast AS DOUBLE), 4) AS forecast, week, train_date FROM monthly_forecast_filled",
+    "SELECT account_id, CAST(forecast AS DOUBLE) AS forecast, week, train_date FROM monthly_forecast_filled",
     "monthly_forecast_filled"))
 def zero_fill_unforecast(spark, sf):
-    return _monthly_filled(spark, sf).withColumn("forecast", F.round(F.col("forecast").cast("double"), 4))
+    return _monthly_filled(spark, sf)
 
 
 @query("combine_account_forecasts", compose("""
-SELECT account_id, week, train_date, round(CAST(sum(forecast) AS DOUBLE), 4) AS forecast FROM (
+SELECT account_id, week, train_date, CAST(sum(forecast) AS DOUBLE) AS forecast FROM (
  SELECT account_id, week, train_date, CAST(forecast AS DECIMAL(28,6)) AS forecast FROM scheduled WHERE NOT small
  UNION ALL SELECT account_id, week, train_date, CAST(forecast AS DECIMAL(28,6)) FROM small_forecast
  UNION ALL SELECT account_id, week, train_date, CAST(forecast AS DECIMAL(28,6)) FROM monthly_forecast_filled)
@@ -173,8 +174,7 @@ WHERE week > (SELECT max(week_start) FROM account_week) AND week <= (SELECT max(
 GROUP BY 1, 2, 3""", "scheduled", "small_forecast", "monthly_forecast_filled"))
 def combine_account_forecasts(spark, sf):
     newest = T.read(spark, sf, "lineitem").select(fiscal.monday_of(F.max(F.to_date("l_shipdate")))).scalar()
-    combined = L.combine_account_forecasts(_of_population(spark, sf, False), zero_fill_inactive(spark, sf), _monthly_filled(spark, sf), newest)
-    return combined.withColumn("forecast", F.round(F.col("forecast").cast("double"), 4))
+    return L.combine_account_forecasts(_of_population(spark, sf, False), zero_fill_inactive(spark, sf), _monthly_filled(spark, sf), newest)
 
 
 _CLOSED_FORM = """

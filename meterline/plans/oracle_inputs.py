@@ -94,8 +94,8 @@ SELECT CAST(l_shipdate AS DATE) AS date, account_id, account_name, l_linestatus
        CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4)) AS dollars,
        o_orderpriority AS priority, account_balance
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN accounts ON o_custkey = c_custkey""", ("accounts",)),
-    "monthly_private": (_MONTHLY.format(which=">= 9000"), ("accounts",)),
-    "monthly_public": (_MONTHLY.format(which="< 0"), ("accounts",)),
+    "monthly_private": (_MONTHLY.format(which=f">= {C.PRIVATE_FROM}"), ("accounts",)),
+    "monthly_public": (_MONTHLY.format(which=f"< {C.PUBLIC_BELOW}"), ("accounts",)),
     "monthly_usage": ("SELECT *, 'private' AS source FROM monthly_private UNION ALL "
                       "SELECT *, 'public' AS source FROM monthly_public", ("monthly_private", "monthly_public")),
     "key_days": (f"""

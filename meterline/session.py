@@ -52,3 +52,19 @@ def shared_folder(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+_RUN_FOLDERS: set[str] = set()
+
+
+def run_folder(spark: SparkSession) -> str:
+    """Folder of this application below the shared one; it is deleted when the application ends."""
+    context = spark.sparkContext
+    folder = f"{shared_folder(spark)}/meterline-{context.applicationId}"
+    if folder not in _RUN_FOLDERS:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(context._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _RUN_FOLDERS.add(folder)
+    return folder

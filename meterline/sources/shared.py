@@ -15,7 +15,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame
 
-from ..session import shared_folder
+from ..session import run_folder
 
 _BUILT: ContextVar[dict | None] = ContextVar("built", default=None)
 
@@ -56,6 +56,6 @@ def stored(df: DataFrame, partitions: int | None = None) -> DataFrame:
     pruned to their columns, and a lost executor costs no recomputation of the raw part.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/table-{uuid.uuid4().hex}"
     (df.coalesce(partitions) if partitions else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

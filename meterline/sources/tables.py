@@ -7,9 +7,11 @@ and never on the account key, which may be hot.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .. import config as C
 from ..functions.money import AMOUNT
@@ -82,28 +84,31 @@ def _monthly(spark: SparkSession, sf_dir: str, which: Column) -> DataFrame:
 
 @shared
 def monthly_private(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly usage of accounts on private contracts: the highest balances."""
-    return _monthly(spark, sf_dir, F.col("account_balance") >= 9000)
+    """Monthly usage of accounts on private contracts: the upper third of the balances."""
+    return _monthly(spark, sf_dir, F.col("account_balance") >= C.PRIVATE_FROM)
 
 
 @shared
 def monthly_public(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly usage of public accounts: those in debit."""
-    return _monthly(spark, sf_dir, F.col("account_balance") < 0)
+    """Monthly usage of public accounts: the lower third of the balances."""
+    return _monthly(spark, sf_dir, F.col("account_balance") < C.PUBLIC_BELOW)
 
 
-MAX_RULES = 10_000
+def _plain(row: tuple) -> list:
+    """Structs of a rule (tuples) as dictionaries."""
+    return [{f"c{i - 1}" if i else "shape": x for i, x in enumerate(v)} if isinstance(v, tuple) else v for v in row]
 
 
 def rule_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
-    """A config table. Its size is that of the config, never of the data, so it may be broadcast.
+    """A config table of any size.
 
-    Without the hint Spark knows no size for rows that come from Python and would shuffle the
-    large side on the few keys of the rules.
+    It goes to Spark as an Arrow table, whose size Spark knows: a small one is broadcast by the usual
+    threshold, a large one is joined like any other table.
     """
-    if len(rows) > MAX_RULES:
-        raise ValueError("rules are config; store a table of this size instead")
-    return F.broadcast(spark.createDataFrame(rows, schema=schema))
+    kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    names = kind.fieldNames()
+    table = pa.Table.from_pylist([dict(zip(names, _plain(r))) for r in rows], schema=to_arrow_schema(kind))
+    return spark.createDataFrame(table, schema=kind)
 
 
 def feature_catalog(spark: SparkSession) -> DataFrame:

@@ -160,7 +160,7 @@ def test_one_word_unit_has_no_segment(spark):
                                 (dt.datetime(2021, 2, 1), "Platform", "X", 2021, 3, 1.0)],
                                "as_of_date timestamp, plan_kind string, platform string, year int, month int, dollars double")
     got = sorted((r["region"], r["segment"]) for r in V.plan_by_unit(df).collect())
-    assert got == [("APAC", "BIG PART"), ("EUROPE", None)]
+    assert got == [("ASIA PACIFIC", "BIG PART"), ("EUROPE", None)]
     assert [r["platform"] for r in V.plan_by_platform(df).collect()] == ["x"]
 
 
