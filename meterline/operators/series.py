@@ -142,14 +142,20 @@ def event_regressors(series: DataFrame, key: str, rules=C.EVENT_RULES, around: i
             .select(key, "date", "dollars", *[F.coalesce(F.col(f), F.lit(0)).alias(f) for f in flags]))
 
 
-def lag_features(series: DataFrame, key: str, lags: tuple[int, ...], mean_lags: tuple[int, int]) -> DataFrame:
-    """Single lags and the mean over a range of lags, by row order within the series."""
-    ordered = Window.partitionBy(key).orderBy("date")
+def lag_features(series: DataFrame, key: str, lags: tuple[int, ...], mean_lags: tuple[int, int], grain: str = "day") -> DataFrame:
+    """Single lags and the mean over a range of lags, in days or months of the calendar.
+
+    A lag is null where the series has no row that far back; missing days or months shift nothing.
+    """
+    at = F.datediff("date", F.lit(dt.date(1970, 1, 1))) if grain == "day" else F.year("date") * 12 + F.month("date")
+    ordered = Window.partitionBy(key).orderBy("at")
     nearest, farthest = mean_lags
-    frame = ordered.rowsBetween(-farthest, -nearest)
+    frame = ordered.rangeBetween(-farthest, -nearest)
     averaged = F.sum("dollars").over(frame).cast("double") / F.count("dollars").over(frame)
-    return series.select(key, "date", "dollars", *[F.lag("dollars", k).over(ordered).alias(f"lag_{k}") for k in lags],
-                         rounded(averaged).alias("mean_lag"))
+    return series.withColumn("at", at).select(
+        key, "date", "dollars",
+        *[F.sum("dollars").over(ordered.rangeBetween(-k, -k)).cast(TOTAL).alias(f"lag_{k}") for k in lags],
+        rounded(averaged).alias("mean_lag"))
 
 
 def adjustment_days(adjustments: DataFrame) -> DataFrame:

@@ -238,25 +238,28 @@ def event_regressors(spark, sf):
     return S.event_regressors(S.daily_series(T.daily_usage(spark, sf), "unit"), "unit")
 
 
-def _lag_sql(k: int) -> str:
-    return f"CAST(lag(dollars, {k}) OVER w AS DOUBLE)"
+_PLACE = {"day": "date_diff('day', DATE '1970-01-01', date)", "month": "(year(date) * 12 + month(date))"}
 
 
-def _mean_lag_sql(near: int, far: int) -> str:
-    frame = f"(PARTITION BY unit ORDER BY date ROWS BETWEEN {far} PRECEDING AND {near} PRECEDING)"
+def _lag_sql(k: int, grain: str) -> str:
+    return f"CAST(sum(dollars) OVER (PARTITION BY unit ORDER BY {_PLACE[grain]} RANGE BETWEEN {k} PRECEDING AND {k} PRECEDING) AS DOUBLE)"
+
+
+def _mean_lag_sql(near: int, far: int, grain: str) -> str:
+    frame = f"(PARTITION BY unit ORDER BY {_PLACE[grain]} RANGE BETWEEN {far} PRECEDING AND {near} PRECEDING)"
     return f"round(CAST(sum(dollars) OVER {frame} AS DOUBLE) / nullif(count(dollars) OVER {frame}, 0), 6)"
 
 
 @query("lag_features", compose(f"""
-SELECT unit, 'day' AS grain, date, CAST(dollars AS DOUBLE) AS dollars, {_lag_sql(1)} AS lag_1, {_lag_sql(7)} AS lag_7,
- CAST(NULL AS DOUBLE) AS lag_12, CAST(NULL AS DOUBLE) AS lag_24, {_mean_lag_sql(1, 7)} AS mean_lag
-FROM ({_UNIT_SERIES.format(key='unit')}) WINDOW w AS (PARTITION BY unit ORDER BY date)
+SELECT unit, 'day' AS grain, date, CAST(dollars AS DOUBLE) AS dollars, {_lag_sql(1, 'day')} AS lag_1, {_lag_sql(7, 'day')} AS lag_7,
+ CAST(NULL AS DOUBLE) AS lag_12, CAST(NULL AS DOUBLE) AS lag_24, {_mean_lag_sql(1, 7, 'day')} AS mean_lag
+FROM ({_UNIT_SERIES.format(key='unit')})
 UNION ALL
-SELECT unit, 'month', date, CAST(dollars AS DOUBLE), {_lag_sql(1)}, NULL, {_lag_sql(12)}, {_lag_sql(24)}, {_mean_lag_sql(2, 3)}
-FROM ({_monthly_sql('unit')}) WINDOW w AS (PARTITION BY unit ORDER BY date)""", "daily_usage", "monthly_usage"))
+SELECT unit, 'month', date, CAST(dollars AS DOUBLE), {_lag_sql(1, 'month')}, NULL, {_lag_sql(12, 'month')}, {_lag_sql(24, 'month')}, {_mean_lag_sql(2, 3, 'month')}
+FROM ({_monthly_sql('unit')})""", "daily_usage", "monthly_usage"))
 def lag_features(spark, sf):
     daily = S.lag_features(S.daily_series(T.daily_usage(spark, sf), "unit"), "unit", (1, 7), (1, 7))
-    monthly = S.lag_features(_monthly(spark, sf, "unit"), "unit", (1, 12, 24), (2, 3))
+    monthly = S.lag_features(_monthly(spark, sf, "unit"), "unit", (1, 12, 24), (2, 3), "month")
     return daily.withColumn("grain", F.lit("day")).unionByName(
         monthly.withColumn("grain", F.lit("month")), allowMissingColumns=True)
 

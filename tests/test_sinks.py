@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from meterline.session import shared_folder
@@ -68,6 +67,10 @@ def test_tables_are_shared_within_one_build_only(spark):
     assert built == ["x", "y", "x"]
 
 
-def test_rule_tables_are_small(spark):
-    with pytest.raises(ValueError):
-        rule_table(spark, [(i,) for i in range(10_001)], "n int")
+def test_rule_tables_of_any_size(spark):
+    rows = rule_table(spark, [(i,) for i in range(10_001)], "n int")
+    assert sorted(r["n"] for r in rows.collect()) == list(range(10_001))
+    assert rule_table(spark, [], "n int").count() == 0
+    # Spark knows the size: a small table is broadcast without a hint
+    joined = spark.range(100_000).join(rule_table(spark, [(1, "a")], "id long, name string"), "id")
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()

@@ -274,3 +274,14 @@ def test_account_needs_rows_in_one_source(spark):
         "dollars", F.col("v").cast("decimal(18,4)"))
     got = sorted((r["account_id"], r["month"], float(r["dollars"])) for r in S.account_monthly_series(df).collect())
     assert got == [("b", 1, 1.0), ("b", 2, 1.0), ("b", 3, 2.0)]
+
+
+def test_lags_follow_the_calendar(spark):
+    from decimal import Decimal
+
+    days = spark.createDataFrame(
+        [("u", dt.date(2000, 1, d), Decimal(v)) for d, v in ((1, 10), (5, 20), (6, 30), (9, 40))], "unit string, date date, dollars decimal(18,4)")
+    got = {r["date"].day: r for r in S.lag_features(days, "unit", (1, 4), (1, 7)).collect()}
+    assert [got[d]["lag_1"] for d in (1, 5, 6, 9)] == [None, None, 20, None]
+    assert [got[d]["lag_4"] for d in (1, 5, 6, 9)] == [None, 10, None, 20]
+    assert got[9]["mean_lag"] == 25 and got[1]["mean_lag"] is None
