@@ -162,11 +162,18 @@ def backtest_summary(metrics: DataFrame, key: str, names: tuple[str, ...]) -> Da
         *[F.max(F.when(F.col("part") == p, F.col("value"))).alias(p) for p in ("train", "test")])
 
 
-def completeness_check(forecast: DataFrame, series: str, run: list[str], horizon: int) -> DataFrame:
-    """Rows expected and found per run. The number of series is that of the whole table."""
-    known = forecast.select(F.count_distinct(series)).scalar()
-    return forecast.groupBy(*run).agg(F.count("*").alias("found")).select(
-        *run, (known * horizon).alias("expected"), "found", (F.col("found") == known * horizon).alias("complete"))
+def completeness_check(forecast: DataFrame, series: str, run: list[str], horizon: int, expected: DataFrame) -> DataFrame:
+    """Rows expected and found per run.
+
+    ``expected`` lists the series a run has to have (column ``series``). It comes from outside, so a series that is lost
+    from all runs is missed; rows of other series do not count.
+    """
+    known = expected.select(series).distinct()
+    rows = forecast.join(known.withColumn("known", F.col(series)), series, "left")
+    n = known.select(F.count("*")).scalar()
+    counted = rows.groupBy(*run).agg(F.count("known").alias("found"), F.count_distinct("known").alias("kinds"))
+    return counted.select(
+        *run, (n * horizon).alias("expected"), "found", ((F.col("found") == n * horizon) & (F.col("kinds") == n)).alias("complete"))
 
 
 def require_complete(checked: DataFrame) -> None:

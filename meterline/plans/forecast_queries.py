@@ -245,8 +245,11 @@ def backtest_summary(spark, sf):
 
 
 @query("completeness_check", compose(f"""
-SELECT vintage, score_run_at, CAST((SELECT count(DISTINCT ts_key) FROM unit_forecast) * {_H} AS BIGINT) AS expected,
- count(*) AS found, count(*) = (SELECT count(DISTINCT ts_key) FROM unit_forecast) * {_H} AS complete
-FROM unit_forecast GROUP BY vintage, score_run_at""", "unit_forecast"))
+WITH known AS (SELECT DISTINCT {key('region', 'segment')} || '{C.KEY_SUFFIX}' AS unit_key FROM accounts)
+SELECT vintage, score_run_at, CAST((SELECT count(*) FROM known) * {_H} AS BIGINT) AS expected, count(unit_key) AS found,
+ count(unit_key) = (SELECT count(*) FROM known) * {_H} AND count(DISTINCT unit_key) = (SELECT count(*) FROM known) AS complete
+FROM unit_forecast LEFT JOIN known ON ts_key = unit_key GROUP BY vintage, score_run_at""", "unit_forecast", "accounts"))
 def completeness_check(spark, sf):
-    return M.completeness_check(stored(I.unit_forecast(spark, sf)), "ts_key", ["vintage", "score_run_at"], _H)
+    """The units of all accounts are expected in every run."""
+    units = T.accounts(spark, sf).select(F.concat(series_key(F.col("region"), F.col("segment")), F.lit(C.KEY_SUFFIX)).alias("ts_key"))
+    return M.completeness_check(I.unit_forecast(spark, sf), "ts_key", ["vintage", "score_run_at"], _H, units)

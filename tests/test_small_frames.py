@@ -261,10 +261,13 @@ def test_metrics_by_hand(spark):
 
 def test_incomplete_run_stops_the_job(spark):
     df = spark.createDataFrame([("a", D(2001, 1, 1)), ("b", D(2001, 1, 1)), ("a", D(2001, 1, 8))], "ts_key string, vintage date")
-    checked = M.completeness_check(df, "ts_key", ["vintage"], 1)
+    expected = spark.createDataFrame([("a",), ("b",)], "ts_key string")
+    checked = M.completeness_check(df, "ts_key", ["vintage"], 1, expected)
     assert {r["vintage"]: r["complete"] for r in checked.collect()} == {D(2001, 1, 1): True, D(2001, 1, 8): False}
     with pytest.raises(ValueError):
         M.require_complete(checked)
+    lost = M.completeness_check(df, "ts_key", ["vintage"], 1, expected.union(spark.createDataFrame([("c",)], "ts_key string")))
+    assert not any(r["complete"] for r in lost.collect())
 
 
 def test_account_needs_rows_in_one_source(spark):
