@@ -31,6 +31,8 @@ from .samples import labelled_ids, texts_of
 
 #: Most documents of each label in the sample, and most words the field is trained on.
 SAMPLE, TRAIN_WORDS = 1500, 250_000
+#: Word Jaccard from which a toxic row counts as a copy of an earlier one.
+COPY = 0.8
 #: Characters of text handled at once in a task.
 BATCH_CHARS = 1_500_000
 FEATURES = crf.Features(bits=18, prefixes=(4, 5, 6, 7), suffixes=(3, 4))
@@ -63,31 +65,42 @@ def summaries(model: crf.Model, texts: list[str]):
     return np.stack([np.ones(len(texts)), np.log(top / (1 - top)), np.log1p(total)], 1), p, counts
 
 
-def not_copies(codes: np.ndarray, counts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Documents that share none of three minimum hashes of their long words with an earlier one.
+def not_copies(codes: np.ndarray, counts: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Which of ``rows`` are no copies: their word Jaccard with each earlier one that is none is under ``COPY``.
 
     Words of a document that is copied many times would pass for words of toxic documents.
     """
-    kept = np.ones(len(counts), bool)
-    doc = np.repeat(np.arange(len(counts)), counts)
-    long = lengths[codes] >= 7
-    for salt in (1, 2, 3):
-        h = (codes.astype(np.uint64) + np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
-        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        low = np.full(len(counts), np.iinfo(np.uint64).max, np.uint64)
-        np.minimum.at(low, doc[long], h[long])
-        has = np.nonzero(low != np.iinfo(np.uint64).max)[0]
-        first = np.unique(low[has], return_index=True)[1]
-        seen = np.ones(len(has), bool)
-        seen[first] = False
-        kept[has[seen]] = False
+    place = np.full(len(counts), -1)
+    place[rows] = np.arange(len(rows))
+    n, doc = len(rows), place[np.repeat(np.arange(len(counts)), counts)]
+    width = int(codes.max(initial=0)) + 1
+    pairs = np.unique((doc * np.int64(width) + codes)[doc >= 0])
+    doc, word = pairs // width, pairs % width
+    sizes = np.bincount(doc, minlength=n)
+    # words of two or more rows only, in blocks: the others are in no intersection
+    often = np.bincount(word, minlength=width)[word] > 1
+    doc, (distinct, word) = doc[often], np.unique(word[often], return_inverse=True)
+    order = np.argsort(word, kind="stable")
+    doc, word = doc[order], word[order]
+    both = np.zeros((n, n), np.float32)
+    for lo in range(0, len(distinct), 4096):
+        a, b = np.searchsorted(word, (lo, lo + 4096))
+        held = np.zeros((n, min(4096, len(distinct) - lo)), np.float32)
+        held[doc[a:b], word[a:b] - lo] = 1
+        both += held @ held.T
+    kept = np.ones(n, bool)
+    for i in range(1, n):
+        total = sizes[:i] + sizes[i] - both[i, :i]
+        kept[i] = not (kept[:i] & (total > 0) & (both[i, :i] >= COPY * total)).any()
     return kept
 
 
 def marking_features(slots: np.ndarray, codes: np.ndarray, counts: np.ndarray, toxic: np.ndarray,
-                     lengths: np.ndarray, least_g: float = 14.0, least_ratio: float = 20.0) -> np.ndarray:
+                     least_g: float = 14.0, least_ratio: float = 20.0) -> np.ndarray:
     """Features that toxic documents have far more often than clean ones (log-likelihood ratio and ratio of shares)."""
-    use = not_copies(codes, counts, lengths) | ~toxic
+    use = ~toxic
+    rows = np.nonzero(toxic)[0]
+    use[rows[not_copies(codes, counts, rows)]] = True
     doc = np.repeat(np.arange(len(counts)), counts)
     width = int(slots.max(initial=0)) + 1
     pairs = np.unique(np.concatenate([doc * np.int64(width) + slots[codes, c] for c in range(slots.shape[1])]))
@@ -117,8 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1) -
     slots = np.zeros((len(distinct), len(MARKING)), np.int32)
     for at, ids in FEATURES.of(distinct):
         slots[at] = ids[:, MARKING]
-    lengths = np.fromiter(map(len, distinct), np.int64, len(distinct))
-    marks = np.isin(slots, marking_features(slots, codes, counts, toxic, lengths)).any(1)
+    marks = np.isin(slots, marking_features(slots, codes, counts, toxic)).any(1)
     tokens = (marks[codes] & np.repeat(toxic, counts)).astype(np.int64)
     # whole documents, toxic and clean in turn, up to the bound
     turn = np.argsort(np.where(toxic, np.cumsum(toxic), np.cumsum(~toxic)), kind="stable")

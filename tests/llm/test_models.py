@@ -224,3 +224,22 @@ def test_mixing_awkward_rows(spark, some):
     tokens = {r["doc_id"]: r["n_tokens"] for r in rows}
     assert tokens[2] == tokens[3] == tokens[4] == 0 and tokens[1] == 13
     assert mixing.mix(frame.limit(0), mixing.domain_of(labels(spark, some)), mixing.TARGETS, ["doc_id"]).count() == 0
+
+
+def test_only_copies_of_toxic_rows_are_weighted_down():
+    """Toxic rows that share some words still count; copies with few changes count once."""
+    rng = np.random.default_rng(3)
+    words = lambda n: [f"ordinary{i}" for i in rng.choice(400, n)]
+    toxic = [[*words(60), "venomous"] for _ in range(40)]
+    copied = [f"passage{i}" for i in range(60)]
+    copies = [[*copied, f"change{k}"] for k in range(30)]
+    clean = [words(60) for _ in range(60)]
+    texts = clean[:30] + toxic + copies + clean[30:]
+    label = np.array([0] * 30 + [1] * 70 + [0] * 30, bool)
+    codes, distinct, counts = crf.coded(texts)
+    kept = toxicity.not_copies(codes, counts, np.nonzero(label)[0])
+    assert kept[:41].all() and not kept[41:].any()
+    slots = np.arange(1, len(distinct) + 1, dtype=np.int32)[:, None]
+    marks = {distinct[i - 1] for i in toxicity.marking_features(slots, codes, counts, label)}
+    assert marks == {"venomous"}
+    assert len(toxicity.not_copies(codes, counts, np.zeros(0, np.int64))) == 0
