@@ -20,7 +20,8 @@ broadcast join while these are at most ``BROADCAST_ROWS``, beyond that in a shuf
 execution splits at hot shingles; the same holds for the ids of rows with a shared shingle.
 
 Null or empty texts have no shingles and are never found; so are null or empty items. Repeated ids with
-different texts are looked at as rows of their own, repeated rows give one finding. Null ids are kept.
+different texts are looked at as rows of their own, repeated rows give one finding. An ``item_id`` (null included) with
+different texts stands for all of them: each is looked for on its own, and the best window of any is its finding. Null ids are kept.
 Only ``doc_id`` and ``text``, ``item_id`` and ``text`` are read.
 """
 
@@ -77,19 +78,19 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """item_id, size (words of a shingle), g (hashes) and fp of the items that have a word."""
+    """item_id, item_hash (of its words), size (words of a shingle), g (hashes) and fp of the items that have a word."""
     rows = benchmark.select("item_id", _words(F.col("text")).alias("w")).where(F.size("w") > 0).distinct()
     size = F.least(F.size("w"), F.lit(WORDS))
     g = F.lit(None).cast("array<bigint>")
     for k in range(1, WORDS + 1):
         g = F.when(size == k, _shingles("w", k)).otherwise(g)
-    return rows.select("item_id", size.alias("size"), g.alias("g")).withColumn("fp", simhash("g"))
+    return rows.select("item_id", F.xxhash64("w").alias("item_hash"), size.alias("size"), g.alias("g")).withColumn("fp", simhash("g"))
 
 
 def findings(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, text_hash, item_id, start_word (from 0), n_words, similarity: the best window of each contaminated row and item."""
     items = stored(items_of(benchmark))
-    known = items.select("item_id", "size", F.explode(F.array_distinct("g")).alias("h"))
+    known = items.select("item_id", "item_hash", "size", F.explode(F.array_distinct("g")).alias("h"))
     n_known = known.count()
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect()) or [WORDS]
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
@@ -104,7 +105,7 @@ def findings(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     # outer: else the optimiser puts a filter on the size of the array under it, which computes the words again for each shingle
     places = shingled(rows).select("doc_id", "text_hash", "size", F.posexplode_outer("g").alias("at", "h"))
-    shared = stored(places.join(_small(known, n_known), ["size", "h"]).select("doc_id", "text_hash", "size", "item_id", "at").distinct())
+    shared = stored(places.join(_small(known, n_known), ["size", "h"]).select("doc_id", "text_hash", "size", "item_id", "item_hash", "at").distinct())
     ids = stored(shared.select("doc_id", "text_hash").distinct())
     n_ids = ids.count()
     a, b = rows.alias("a"), _small(ids, n_ids).alias("b")
@@ -112,19 +113,19 @@ def findings(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                   .dropDuplicates(["doc_id", "text_hash", "size"]))
     # windows of the item's size from each shared shingle
     s, h, i = shared.alias("s"), held.alias("h"), _small(items, n_known).alias("i")
-    met = s.join(i, F.col("s.item_id").eqNullSafe(F.col("i.item_id")) & (F.col("s.size") == F.col("i.size"))).select(
-        "s.doc_id", "s.text_hash", "s.size", "s.item_id", "s.at", F.col("i.g").alias("item_g"), F.col("i.fp").alias("item_fp"))
+    met = s.join(i, F.col("s.item_id").eqNullSafe(F.col("i.item_id")) & (F.col("s.item_hash") == F.col("i.item_hash")) & (F.col("s.size") == F.col("i.size"))).select(
+        "s.doc_id", "s.text_hash", "s.size", "s.item_id", "s.item_hash", "s.at", F.col("i.g").alias("item_g"), F.col("i.fp").alias("item_fp"))
     met = met.alias("m").join(h, F.col("m.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("m.text_hash") == F.col("h.text_hash")) & (F.col("m.size") == F.col("h.size")))
     start = F.least(F.col("at"), F.greatest(F.lit(0), F.size("h.g") - F.size("item_g")))
-    windows = met.select("m.doc_id", "m.text_hash", "m.size", "m.item_id", start.alias("start"), F.slice("h.g", start + 1, F.size("item_g")).alias("g"))
-    windows = windows.dropDuplicates(["doc_id", "text_hash", "size", "item_id", "start"])
+    windows = met.select("m.doc_id", "m.text_hash", "m.size", "m.item_id", "m.item_hash", start.alias("start"), F.slice("h.g", start + 1, F.size("item_g")).alias("g"))
+    windows = windows.dropDuplicates(["doc_id", "text_hash", "size", "item_id", "item_hash", "start"])
     windows = stored(windows.withColumn("fp", simhash("g")))  # computed once, not in each of the blocks
     # blocks: the pairs that agree in one
     blocks = lambda fp: F.explode(F.array(*[F.struct(F.lit(k).alias("block"), _block(fp, k).alias("value")) for k in range(len(BLOCKS))]))
-    left = windows.select("*", blocks("fp").alias("x")).select("doc_id", "text_hash", "size", "item_id", "start", "g", "fp", "x.block", "x.value")
-    right = items.select(F.col("item_id").alias("i_id"), F.col("g").alias("item_g"), F.col("fp").alias("item_fp"), blocks("fp").alias("x")).select(
-        "i_id", "item_g", "item_fp", F.col("x.block").alias("i_block"), F.col("x.value").alias("i_value"))
-    pairs = left.join(_small(right, n_known), F.col("item_id").eqNullSafe(F.col("i_id")) & (F.col("block") == F.col("i_block")) & (F.col("value") == F.col("i_value")))
+    left = windows.select("*", blocks("fp").alias("x")).select("doc_id", "text_hash", "size", "item_id", "item_hash", "start", "g", "fp", "x.block", "x.value")
+    right = items.select(F.col("item_id").alias("i_id"), F.col("item_hash").alias("i_hash"), F.col("g").alias("item_g"), F.col("fp").alias("item_fp"), blocks("fp").alias("x")).select(
+        "i_id", "i_hash", "item_g", "item_fp", F.col("x.block").alias("i_block"), F.col("x.value").alias("i_value"))
+    pairs = left.join(_small(right, n_known), F.col("item_id").eqNullSafe(F.col("i_id")) & (F.col("item_hash") == F.col("i_hash")) & (F.col("block") == F.col("i_block")) & (F.col("value") == F.col("i_value")))
     first = F.lit(len(BLOCKS))
     for k in reversed(range(len(BLOCKS))):
         first = F.when(_block("fp", k) == _block("item_fp", k), F.lit(k)).otherwise(first)

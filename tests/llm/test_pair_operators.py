@@ -170,3 +170,17 @@ def test_decontamination_without_broadcast(spark, sf_dir, monkeypatch):
     one = {tuple(r) for r in decontamination.findings(read("documents"), read("benchmark")).collect()}
     monkeypatch.setattr(decontamination, "BROADCAST_ROWS", -1)
     assert {tuple(r) for r in decontamination.findings(read("documents"), read("benchmark")).collect()} == one
+
+
+def test_decontamination_of_an_id_with_two_texts(spark):
+    """Each text of a repeated item id is looked for at its own length, null ids included."""
+    long = " ".join(f"s{i}" for i in range(40))
+    short = "s0 s1 s2 s3 s4 t0 t1 t2 t3 t4"  # begins as the long one does, so windows of both start at the same word
+    rest = " ".join(f"r{i}" for i in range(60))
+    texts = [(1, f"before it {short} {rest}"), (2, f"before it {long} {rest}")]
+    items = [(i, t) for i in (7, None) for t in (short, long)]
+    for order in (items, items[::-1]):
+        bench = spark.createDataFrame(order, "item_id long, text string")
+        got = {(r["doc_id"], r["item_id"]): (r["start_word"], r["similarity"]) for r in decontamination.findings(docs(spark, texts), bench).collect()}
+        assert got == {(d, i): (2, 1.0) for d in (1, 2) for i in (7, None)}
+        assert decontamination.clean(docs(spark, texts), bench).count() == 0
