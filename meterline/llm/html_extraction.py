@@ -2,7 +2,8 @@
 
 A page is parsed into a tree. Parts that are never main text are cut: scripts, styles, forms, menus,
 headers, footers, sidebars, and elements whose class, id or role says so (adverts, notices, comments
-and the like). Each paragraph then earns points for its length and commas and passes them to its
+and the like), unless a name only tells a state (``comments-open``, ``ad-free``) or goes with other names on an element that holds
+most of the text. An ``article`` named as a comment is one. Each paragraph then earns points for its length and commas and passes them to its
 ancestors, fewer with each level; the points of a container are discounted by the share of its text
 that is links. The container with most points is the main one; inside an ``article`` or ``main`` element it
 is that element. Siblings with enough points, or plain text with few links, are kept with it.
@@ -35,6 +36,8 @@ BLOCK = frozenset((
 #: Elements whose start closes an open paragraph, and those a paragraph cannot be looked for beyond.
 ENDS_P = BLOCK - frozenset("html body caption td th tr tbody thead tfoot".split())
 SCOPE = frozenset("html body table td th caption button object template".split())
+#: Elements of a head; any other one, or text, ends it.
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 #: Which open elements a new one closes, if no element of the second kind stands between.
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
@@ -49,6 +52,10 @@ UNWANTED = frozenset((
     "pagination pager widget toolbar skip print").split())
 #: Those that also name frames around a page (``page-with-sidebar``).
 FRAMES = frozenset("nav navbar header masthead footer sidebar aside overlay widget toolbar menu print".split())
+#: Those that make an article element a comment.
+COMMENTS = frozenset("comment comments reply replies disqus".split())
+#: A name with one of these words tells a state of the element (``comments-open``, ``no-sidebar``), not what it is.
+STATES = frozenset("open opened closed free enabled disabled allowed active on off no not non without has hide hidden show".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar status".split())
 KEPT = frozenset("html body article main".split())
 PARAGRAPH = frozenset("p pre td blockquote li dd".split())
@@ -84,6 +91,8 @@ class _Builder(HTMLParser):
                 return
 
     def handle_starttag(self, tag, attrs):
+        if tag == "body" or self.open[-1].tag == "head" and tag not in HEAD:
+            self._close(("head",), ())
         if tag in ENDS_P:
             self._close(("p",), SCOPE)
         if tag in CLOSES:
@@ -101,6 +110,8 @@ class _Builder(HTMLParser):
         self._close((tag,), ("td", "th") if tag not in ("td", "th", "tr", "table", "tbody", "thead", "tfoot", "body", "html") else ())
 
     def handle_data(self, data):
+        if self.open[-1].tag == "head" and data.strip():
+            self._close(("head",), ())
         self.open[-1].kids.append(data)
 
 
@@ -126,14 +137,28 @@ def _cut(node: Node) -> bool:
         or "display:none" in node.attrs.get("style", "").replace(" ", "").lower()
 
 
+def _names(node: Node) -> list[set[str]]:
+    """The words of each name in class and id that does not tell a state."""
+    names = (node.attrs.get("class", "") + " " + node.attrs.get("id", "")).split()
+    words = ({x.lower() for x in _NAME.findall(name)} for name in names)
+    return [w for w in words if not (w & UNWANTED and w & STATES)]
+
+
 def _named(node: Node) -> set[str]:
     """Words of class, id and role that name something unwanted."""
-    if not node.attrs or node.tag in KEPT:
+    if not node.attrs or node.tag in KEPT and node.tag != "article":
         return set()
-    parts = {x.lower() for x in _NAME.findall(node.attrs.get("class", "") + " " + node.attrs.get("id", ""))} & UNWANTED
+    parts = {x for words in _names(node) for x in words & UNWANTED}
+    if node.tag == "article":
+        return parts if parts & COMMENTS else set()
     return parts | {node.attrs.get("role", "").lower()} & ROLES
 
 
+def _also(node: Node) -> bool:
+    """Whether it has a name without an unwanted word besides."""
+    return any(words and not words & UNWANTED for words in _names(node))
+
+
 def _filter(root: Node, keep) -> None:
     todo = [root]
     while todo:
@@ -145,20 +170,26 @@ def _filter(root: Node, keep) -> None:
 def prune(root: Node) -> None:
     """Cut what is never main text.
 
-    An element that holds the article stays whatever its name, and so does one with most of the text
-    that is left if its name may be that of a frame around the whole page.
+    An element that holds the article stays whatever its name. So does one with over half of the text that is left (in an
+    article: of the text of that) if its name may be that of a frame around the whole page, or if it has other names
+    besides and is not beside an article.
     """
     _filter(root, lambda k: not _cut(k))
+    named, also = {k: _named(k) for k in _nodes(root)}, {}
+    mains = {k for k in named if k.tag in ("article", "main") and not named[k]}
+    scope = {root: root}
+    for k in _nodes(root)[1:]:  # parents come first
+        scope[k] = k.up if k.up in mains else scope[k.up]
+        also[k] = bool(named[k]) and (not mains or scope[k] is not root) and _also(k)
     holds = set()
-    for node in _nodes(root):
-        if node.tag in ("article", "main"):
-            up = node.up
-            while up is not None and up not in holds:
-                holds.add(up)
-                up = up.up
-    _filter(root, lambda k: k in holds or _named(k) <= FRAMES)
+    for node in mains:
+        up = node.up
+        while up is not None and up not in holds:
+            holds.add(up)
+            up = up.up
+    _filter(root, lambda k: k in holds or named[k] <= FRAMES or also[k])
     size = _measure(root)
-    _filter(root, lambda k: k in holds or not _named(k) or 2 * size[k][0] > size[root][0])
+    _filter(root, lambda k: k in holds or not named[k] or 2 * size[k][0] > size[scope[k]][0])
 
 
 def _measure(root: Node) -> dict[Node, tuple[int, int]]:

@@ -174,3 +174,23 @@ def test_ablations(spark, sf_dir):
             assert r["n_failed_alone"] == sum(b & every == one for b in bits)
             assert r["n_policy_failed"] == sum(b & every != 0 for b in bits)
     assert rules.with_verdict(rows, "v1").where(F.col("kept") == F.col("base_failed")).count() == 0
+
+
+PASSAGE = "<p>The text of the article, with commas, that is long enough.</p><p>And one more paragraph, as long.</p>"
+PASSAGES = "The text of the article, with commas, that is long enough.\nAnd one more paragraph, as long."
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    *[(f"<body>{a}<div class='{name}'>{PASSAGE}</div>{b}</body>", PASSAGES) for a, b in (("", ""), ("<article>", "</article>"))
+      for name in ("post comments-open", "entry ad-free", "content share-enabled", "no-sidebar", "post widget-3 related-7")],
+    (f"<html><head><title>t</title><meta charset=utf-8><body><div>{PASSAGE}</div>", PASSAGES),
+    (f"<head><title>t</title><script>x</script><div>{PASSAGE}</div>", PASSAGES),
+    (f"<head><title>t</title>\n<noscript><img src=x></noscript></head><body>{PASSAGE}", PASSAGES),
+    (f"<body><article>{PASSAGE}</article><div id=comments><article class=comment><p>I like it, a lot.</p></article>"
+     "<article class='comment even' id=div-comment-2><p>So do I, indeed.</p></article></div></body>", PASSAGES),
+    (f"<body><main><div class=post>{PASSAGE}</div><article class='comment-body'><p>I like it, a lot.</p></article></main></body>", PASSAGES),
+    (f"<body><article class='post comments-closed'>{PASSAGE}<div class='comments list'><p>Fine, so fine.</p></div></article></body>", PASSAGES),
+    (f"<body><article>{PASSAGE}</article><div class='ad big'>{PASSAGE * 9}</div></body>", PASSAGES),
+])
+def test_html_names_do_not_cut_the_article(page, text):
+    assert html.main_text(page) == text
