@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import chat_formatting, decontamination, html_extraction, language_id, mixing, quality_classifier, quality_rules, secret_scan, simhash, toxicity
-from .common import table
+from . import chat_formatting, decontamination, html_extraction, language_id, mixing, periodic_runs, quality_classifier, quality_rules, secret_scan, simhash, toxicity
+from .common import table, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -155,3 +155,55 @@ def op3(spark, sf_dir):
     """Rate of every document for the target weights of the domains that labels name."""
     known = mixing.domain_of(table(spark, sf_dir, "labels"))
     return mixing.mix(table(spark, sf_dir, "documents"), known, mixing.TARGETS, ["doc_id"])
+
+
+#: CRC-32 in SQL: the table of its bytes, and the checksum of a text of ASCII characters.
+CRC_TABLE = """crc AS (SELECT list(v ORDER BY i) AS crc_bytes FROM (SELECT i, list_reduce(list_concat([i::BIGINT], list_transform(range(8), lambda z: 0::BIGINT)),
+  lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) AS v FROM range(256) r(i)))"""
+
+
+def crc_sql(text: str) -> str:
+    return (f"CAST(xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), lambda s: ascii(s)::BIGINT)), "
+            f"lambda c, b: xor(c >> 8, crc_bytes[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) AS BIGINT)")
+
+
+OP13_SQL = rf"""
+WITH {CRC_TABLE},
+d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS o,
+  {crc_sql("CAST(doc_id AS VARCHAR)")} AS h FROM documents, crc),
+e AS (SELECT *, len(o) AS n, h // 10 AS g, CASE WHEN len(o) > 0 THEN (h // 10) % len(o) END AS a FROM d),
+f AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM e),
+w AS (SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+  THEN list_transform(range(n), lambda i: o[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE o END AS w FROM f),
+x AS (SELECT r, n, unnest(w) AS word, unnest(range(n)) AS i FROM w),
+y AS (SELECT b.r, b.i - a.i AS q, a.i FROM x a JOIN x b ON a.r = b.r AND a.word = b.word AND b.i > a.i AND 4 * (b.i - a.i) <= a.n),
+z AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM y),
+s AS (SELECT r, q, min(i) AS start, count(*) + q AS length FROM z GROUP BY r, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+u AS (SELECT r, start, length, min(q) AS period FROM s GROUP BY r, start, length),
+k AS (SELECT r, count(*) AS n_runs, max(struct_pack(l := length, s := -start, p := -period)) AS best,
+  string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS told FROM u GROUP BY r),
+m AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM u),
+c AS (SELECT x.r, string_agg(x.word, ' ' ORDER BY x.i) AS kept FROM x ANTI JOIN m ON x.r = m.r AND x.i = m.i GROUP BY x.r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, -best.s AS start, best.l AS length, -best.p AS period, 1000 * best.l // -best.p AS exponent_milli,
+  sha256(coalesce(told, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM w LEFT JOIN k USING (r) LEFT JOIN c USING (r)
+"""
+
+
+def _looped(docs):
+    """doc_id and text; in a tenth of the documents, by the checksum of the id, words from a point on repeat in a loop."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    words = F.struct(words_of(F.col("text")).alias("w"), F.size(words_of(F.col("text"))).alias("n"))
+    rows = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, words).alias("x"))
+    rows = rows.withColumn("a", F.when(F.col("x.n") > 0, F.col("g") % F.col("x.n")))
+    rows = rows.withColumn("p", 1 + F.floor((F.col("x.n") - F.col("a")) / (3 + F.col("g") % 8)))
+    at = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    loop = F.array_join(F.transform(F.sequence(F.lit(0), F.col("x.n") - 1), lambda i: F.get("x.w", at(i).cast("int"))), " ")
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), loop).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs", OP13_SQL)
+def op13(spark, sf_dir):
+    """Runs of repeated words in every document, a tenth of which loop."""
+    return periodic_runs.digests(periodic_runs.periodic_runs(_looped(table(spark, sf_dir, "documents"))))
