@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import chat_formatting, decontamination, html_extraction, language_id, mixing, periodic_runs, quality_classifier, quality_rules, secret_scan, simhash, toxicity
+from . import chat_formatting, decontamination, html_extraction, language_id, mixing, periodic_runs, prefix_trie, quality_classifier, quality_rules, secret_scan, simhash, toxicity
 from .common import table, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,3 +207,50 @@ def _looped(docs):
 def op13(spark, sf_dir):
     """Runs of repeated words in every document, a tenth of which loop."""
     return periodic_runs.digests(periodic_runs.periodic_runs(_looped(table(spark, sf_dir, "documents"))))
+
+
+OP12_SQL = rf"""
+WITH {CRC_TABLE},
+t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT c, c - c % 5 AS base, {crc_sql("CAST(c AS VARCHAR)")} % 9 AS h FROM (SELECT DISTINCT conv_id AS c FROM t), crc),
+r AS (
+  SELECT k.c, pos, role, text FROM k JOIN t ON t.conv_id = k.base AND pos < h
+  UNION ALL SELECT k.c, pos + 1000000, role, text FROM k JOIN t ON t.conv_id = k.c AND pos >= h),
+q AS (SELECT c, list(struct_pack(role := role, text := text) ORDER BY pos) AS s FROM r GROUP BY c),
+p AS (SELECT c, coalesce(s, []) AS s, unnest(range(coalesce(len(s), 0) + 1)) AS d FROM k LEFT JOIN q USING (c)),
+m AS (SELECT c, s, d, min(c) OVER (PARTITION BY d, s[1:d]) AS o FROM p),
+n AS (SELECT o, d, count(*) AS n_convs, CASE WHEN d = 0 THEN 0 ELSE strlen(any_value(s[d].text)) END AS n_bytes,
+  sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE len(s) = d), '')) AS ends_sha256 FROM m GROUP BY o, d),
+u AS (SELECT n.o, n.d, x.o AS parent_o FROM n LEFT JOIN m x ON x.c = n.o AND x.d = n.d - 1),
+c AS (SELECT parent_o AS o, d - 1 AS d, count(*) AS n_children FROM u WHERE d > 0 GROUP BY ALL),
+b AS (SELECT DISTINCT a.o, a.d, z.o AS below_o, z.d AS below_d FROM m a JOIN m z ON z.c = a.c AND z.d >= a.d),
+g AS (SELECT b.o, b.d, count(*) FILTER (WHERE c.n_children IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.n_bytes) AS saved
+  FROM b JOIN n ON n.o = b.below_o AND n.d = b.below_d LEFT JOIN c ON c.o = b.below_o AND c.d = b.below_d GROUP BY ALL)
+SELECT n.o AS conv_id, n.d AS depth, u.parent_o AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children, g.n_leaves,
+  CAST(g.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN u ON u.o = n.o AND u.d = n.d JOIN g ON g.o = n.o AND g.d = n.d LEFT JOIN c ON c.o = n.o AND c.d = n.d
+"""
+
+
+def _rebuilt(rows):
+    """Turns with their places, and conversations, after each has taken its first turns from the first of its five."""
+    convs = rows.groupBy("conv_id").agg(F.count("*").alias("n"))
+    info = convs.select("conv_id", (F.col("conv_id") - F.col("conv_id") % 5).alias("base"), (F.crc32(F.col("conv_id").cast("string")) % 9).alias("h"))
+    base = convs.select(F.col("conv_id").alias("base"), F.col("n").alias("n_base"))
+    info = info.join(base, "base", "left").withColumn("n_lent", F.least("h", F.coalesce("n_base", F.lit(0))))
+    heads = rows.where("pos < 8").withColumnRenamed("conv_id", "base")
+    lent = info.where("n_lent > 0").join(heads, "base").where("pos < n_lent").select("conv_id", "pos", "t", "n_bytes")
+    # a long conversation meets its row of ``info`` by segments
+    seg = prefix_trie.segment(F.col("pos"))
+    by_segment = rows.select("conv_id", seg.alias("seg")).distinct().join(info, "conv_id")
+    own = rows.withColumn("seg", seg).join(by_segment, ["conv_id", "seg"]).where("pos >= h")
+    own = own.select("conv_id", (F.col("pos") - F.col("h") + F.col("n_lent")).alias("pos"), "t", "n_bytes")
+    return lent.unionByName(own), convs.select("conv_id")
+
+
+@query("op12_prefix_trie", OP12_SQL)
+def op12(spark, sf_dir):
+    """Nodes of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.trie(*_rebuilt(prefix_trie.positions(table(spark, sf_dir, "conversations"))))

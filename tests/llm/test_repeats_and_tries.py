@@ -1,5 +1,6 @@
 """Periodic runs and conversation tries against brute force; awkward rows."""
 
+import hashlib
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from meterline.llm import periodic_runs as runs
+from meterline.llm import prefix_trie as tries
 
 
 def brute_runs(words, least, periods):
@@ -81,3 +83,76 @@ def test_runs_awkward_rows(spark):
     assert (tie["n_runs"], tie["start"], tie["period"]) == (2, 0, 1)
     with pytest.raises(ValueError):
         runs.periodic_runs(frame, periods=1)
+
+
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def brute_trie(rows, convs=()):
+    """Nodes of rows (conv_id, turn, role, text) by their whole prefixes."""
+    talks = {c: [] for c in convs}
+    for c, turn, role, text in rows:
+        if c is not None:
+            talks.setdefault(c, []).append((turn is not None, turn or 0, role or "", text or ""))
+    paths = {c: [t[2:] for t in sorted(ts)] for c, ts in talks.items()}
+    members, ends = {}, {}
+    for c, path in paths.items():
+        for d in range(len(path) + 1):
+            members.setdefault(tuple(path[:d]), []).append(c)
+        ends.setdefault(tuple(path), []).append(c)
+    out = []
+    for node, held in members.items():
+        below = [x for x in members if x[: len(node)] == node]
+        childless = [x for x in below if not any(len(y) == len(x) + 1 and y[:-1] == x for y in below)]
+        out.append((
+            min(held), len(node), min(members[node[:-1]]) if node else None, len(held), sum(len(x) == len(node) + 1 for x in below), len(childless),
+            sum((len(members[x]) - 1) * len(x[-1][1].encode()) for x in below if x),
+            hashlib.sha256(",".join(map(str, sorted(ends.get(node, [])))).encode()).hexdigest()))
+    return sorted(out)
+
+
+def talk_rows(seed):
+    """Conversations that copy, extend and leave each other at all depths, some long, some with awkward rows."""
+    rng = random.Random(seed)
+    talks = [[]]
+    for _ in range(60):
+        base = rng.choice(talks)
+        talks.append([*base[: rng.randint(0, len(base))], *[(rng.choice(["user", "assistant", None]), rng.choice(["a", "b", "", None, "ü" * 5, "a\n"])) for _ in range(rng.randint(0, 3))]])
+    talks += [talks[7]] * 5 + [[("user", str(i % 3)) for i in range(70)], [("user", str(i % 3)) for i in range(64)], [("user", str(i % 3)) for i in range(65)] + [("x", "y")]]
+    ids = rng.sample(range(-50, 5000), len(talks))
+    rows = [(c, k, *t) for c, talk in zip(ids, talks) for k, t in enumerate(talk)]
+    rows += [(ids[9], None, "user", "first"), (ids[9], None, "user", "first"), (ids[9], 0, "user", "tie"), (None, 1, "user", "nobody")]
+    rng.shuffle(rows)
+    return rows, ids
+
+
+@pytest.mark.parametrize(("block", "segment", "run"), [(4, 1024, 12), (3, 2, 1)])
+def test_trie_against_brute_force(spark, monkeypatch, block, segment, run):
+    monkeypatch.setattr(tries, "BLOCK", block)
+    monkeypatch.setattr(tries, "SEGMENT", segment)
+    monkeypatch.setattr(tries, "RUN", run)
+    rows, ids = talk_rows(block)
+    frame = spark.createDataFrame([(*r, "x", 1, "k") for r in rows], "conv_id long, turn long, role string, text string, node string, depth long, `a.key` string")
+    got = tries.prefix_trie(frame)
+    assert got.columns == COLUMNS
+    assert sorted(map(tuple, got.collect())) == brute_trie(rows)
+    # conversations without turns are members of the root
+    placed = tries.positions(frame)
+    every = spark.createDataFrame([(c,) for c in ids], "conv_id long")
+    assert sorted(map(tuple, tries.trie(placed, every).collect())) == brute_trie(rows, ids)
+
+
+def test_trie_without_rows(spark):
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert tries.prefix_trie(none).count() == 0
+    alone = tries.trie(tries.positions(none), spark.createDataFrame([(3,), (10,)], "conv_id long"))
+    assert [tuple(r) for r in alone.collect()] == [(3, 0, None, 2, 0, 1, 0, hashlib.sha256(b"3,10").hexdigest())]
+
+
+def test_long_conversation_is_numbered_across_tasks(spark):
+    rows = spark.range(20_000).selectExpr("if(id % 3 = 0, id % 50, 777) AS conv_id", "id AS turn", "'user' AS role", f"if(id = 9000, '{'y' * 300_000}', 'x') AS text")
+    got = {(r["conv_id"], r["pos"]) for r in tries.positions(rows).select("conv_id", "pos").collect()}
+    sizes = {r["conv_id"]: r["n"] for r in rows.groupBy("conv_id").agg({"*": "count"}).toDF("conv_id", "n").collect()}
+    assert len(got) == 20_000 and got == {(c, k) for c, n in sizes.items() for k in range(n)}
+    deep = tries.prefix_trie(rows.where("conv_id = 777")).agg({"depth": "max", "*": "count"}).first()
+    assert deep["max(depth)"] == sizes[777] and deep["count(1)"] == sizes[777] + 1
