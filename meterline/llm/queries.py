@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import chat_formatting, decontamination, html_extraction, language_id, mixing, periodic_runs, prefix_trie, quality_classifier, quality_rules, secret_scan, simhash, toxicity
+from . import chat_formatting, decontamination, html_extraction, language_id, license_scan, mixing, periodic_runs, prefix_trie, quality_classifier, quality_rules, secret_scan, simhash, toxicity
 from .common import table, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -254,3 +254,9 @@ def _rebuilt(rows):
 def op12(spark, sf_dir):
     """Nodes of the prefix trie of the rebuilt conversations."""
     return prefix_trie.trie(*_rebuilt(prefix_trie.positions(table(spark, sf_dir, "conversations"))))
+
+
+@query("op11_license_scan")
+def op11(spark, sf_dir):
+    """Licenses named in every document."""
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
