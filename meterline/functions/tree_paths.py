@@ -1,4 +1,4 @@
-"""Exact Shapley contributions of boosted trees, leaf by leaf.
+"""Exact Shapley contributions of tree leaves, many leaves and rows at a time.
 
 Along a path the conditions on one feature join to one interval. A row pays a leaf's value
 when it lies in all intervals; with a feature left out, its interval counts by the share of
@@ -9,64 +9,45 @@ leaf grows with the square of the path length, not with the number of subsets.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from math import factorial
 
 import numpy as np
 
-
-@dataclass(frozen=True)
-class Leaf:
-    """A leaf: weighted value and, per feature on its path, the interval and the passed share."""
-
-    value: float
-    features: tuple[int, ...]
-    low: tuple[float, ...]
-    high: tuple[float, ...]
-    passed: tuple[float, ...]
-
-
-def leaves_of(nodes: list[dict], weight: float) -> list[Leaf]:
-    """Leaves of one tree from its node rows (id, left, right, feature, threshold, rows, value)."""
-    by_id = {n["id"]: n for n in nodes}
-    found: list[Leaf] = []
-    stack = [(by_id[0], {})]
-    while stack:
-        node, path = stack.pop()
-        if node["left"] < 0:
-            keys = tuple(path)
-            found.append(Leaf(weight * node["value"], keys, tuple(path[k][0] for k in keys),
-                              tuple(path[k][1] for k in keys), tuple(path[k][2] for k in keys)))
-            continue
-        low, high, share = path.get(node["feature"], (-np.inf, np.inf, 1.0))
-        cut = node["threshold"]
-        for child, interval in ((by_id[node["left"]], (low, min(high, cut))),
-                                (by_id[node["right"]], (max(low, cut), high))):
-            passed = share * child["rows"] / node["rows"]
-            stack.append((child, {**path, node["feature"]: (*interval, passed)}))
-    return found
-
-
-def base_value(leaves: list[Leaf]) -> float:
-    """Expected prediction over the training rows."""
-    return float(sum(leaf.value * np.prod(leaf.passed) for leaf in leaves))
-
-
-def contributions(x: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
-    """One contribution per row and feature; with the base value they add up to the prediction."""
+#: Pairs of a row and a leaf that are worked on at once.
+PAIRS = 100_000
+
+
+def _of_length(x: np.ndarray, value, feature, low, high, passed, result: np.ndarray) -> None:
+    """Add the contributions of leaves (first axis) whose paths have equally many features (second axis)."""
+    m = feature.shape[1]
+    share = [factorial(k) * factorial(m - 1 - k) / factorial(m) for k in range(m)]
+    seen = x[:, feature]  # rows, leaves, features of the path
+    inside = ((seen > low) & (seen <= high)).astype(float)
+    for i in range(m):
+        sums = [np.ones(inside.shape[:2])]  # entry k: subsets of size k of the other features
+        for j in range(m):
+            if j != i:
+                absent, there = [s * passed[:, j] for s in sums], [s * inside[:, :, j] for s in sums]
+                sums = [a + b for a, b in zip([*absent, 0.0], [0.0, *there])]
+        weighted = sum(s * w for s, w in zip(sums, share))
+        paid = value * (inside[:, :, i] - passed[:, i]) * weighted
+        for f in np.unique(feature[:, i]):
+            result[:, f] += paid[:, feature[:, i] == f].sum(axis=1)
+
+
+def contributions(x: np.ndarray, value, features, low, high, passed) -> np.ndarray:
+    """One contribution per row of ``x`` and feature.
+
+    The leaves come as sequences: their value and, per feature on the path, its number, the bounds of its interval
+    (above ``low``, up to ``high``) and the share of training rows that passed.
+    """
     result = np.zeros(x.shape)
-    for leaf in leaves:
-        m = len(leaf.features)
-        inside = [((x[:, f] > a) & (x[:, f] <= b)).astype(float)
-                  for f, a, b in zip(leaf.features, leaf.low, leaf.high)]
-        for i in range(m):
-            sums = [np.ones(len(x))]  # entry k: subsets of size k of the other features
-            for j in range(m):
-                if j == i:
-                    continue
-                without = [s * leaf.passed[j] for s in sums] + [0.0]
-                with_it = [0.0] + [s * inside[j] for s in sums]
-                sums = [a + b for a, b in zip(without, with_it)]
-            weighted = sum(s * factorial(k) * factorial(m - 1 - k) / factorial(m) for k, s in enumerate(sums))
-            result[:, leaf.features[i]] += leaf.value * (inside[i] - leaf.passed[i]) * weighted
+    lengths = np.array([len(f) for f in features], dtype=int)
+    for m in np.unique(lengths[lengths > 0]):
+        of = np.flatnonzero(lengths == m)
+        step = max(1, PAIRS // max(1, len(x)))
+        for at in range(0, len(of), step):
+            some = of[at: at + step]
+            table = [np.array([list(column[k]) for k in some]) for column in (features, low, high, passed)]
+            _of_length(x, np.asarray(value, float)[some], table[0].astype(int), *table[1:], result)
     return result

@@ -11,7 +11,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from meterline import config as C
-from meterline.functions.tree_paths import base_value, contributions, leaves_of
+from meterline.operators import attribution as B
 from meterline.operators import forecasting as M
 from meterline.operators import series as S
 from meterline.operators import trees as R
@@ -105,12 +105,19 @@ def expected_value(x, known, node=0):
     return sum(expected_value(x, known, c["id"]) * c["rows"] / n["rows"] for c in (left, right))
 
 
-def test_contributions_equal_brute_force():
+def nodes_of(spark, rows, name="s", tree=0):
+    given = [(name, tree, n["id"], n["left"], n["right"], n["feature"], n["threshold"], float(n["rows"]), n["value"]) for n in rows]
+    return spark.createDataFrame(given, "slice string, tree int, node int, left int, right int, feature int, threshold double, rows double, value double")
+
+
+def test_contributions_equal_brute_force(spark):
     points = np.array(list(itertools.product((0.1, 0.6, 0.9), (0.1, 0.9), (0.0,))))
-    leaves = leaves_of(NODES, 1.0)
-    got = contributions(points, leaves)
-    assert base_value(leaves) == pytest.approx(expected_value(points[0], set()))
-    for row, x in zip(got, points):
+    leaves = B.leaf_paths(nodes_of(spark, NODES), 2)
+    rows = spark.createDataFrame([("s", k, [float(v) for v in x]) for k, x in enumerate(points)], "slice string, row int, inputs array<double>")
+    got = {(r["row"], r["feature"]): r for r in B.attribute(rows, leaves, ("0", "1", "2")).collect()}
+    assert len(got) == 3 * len(points)
+    assert got[(0, "0")]["base_value"] == pytest.approx(expected_value(points[0], set()))
+    for k, x in enumerate(points):
         for i in range(3):
             others = [j for j in range(3) if j != i]
             want = 0.0
@@ -118,17 +125,26 @@ def test_contributions_equal_brute_force():
                 for subset in itertools.combinations(others, size):
                     weight = math.factorial(size) * math.factorial(2 - size) / math.factorial(3)
                     want += weight * (expected_value(x, {*subset, i}) - expected_value(x, set(subset)))
-            assert row[i] == pytest.approx(want)
+            assert got[(k, str(i))]["contribution"] == pytest.approx(want, abs=1e-12)
 
 
-def test_contributions_add_up_to_spark_predictions(spark):
+@pytest.mark.parametrize(("rows_of_block", "trees_of_block"), [(2_000, 10), (37, 2)])
+def test_contributions_add_up_to_spark_predictions(spark, monkeypatch, rows_of_block, trees_of_block):
+    """Also where rows and trees come in many blocks, and with more than one slice."""
+    monkeypatch.setattr(B, "ROWS", rows_of_block)
+    monkeypatch.setattr(B, "TREES", trees_of_block)
     df = spark.range(400).select("id", (F.rand(1) * 4).alias("a"), F.rand(2).alias("b"), F.rand(3).alias("c")).withColumn(
         "target", F.col("a") * 3 + F.when(F.col("b") > 0.5, 2.0).otherwise(0.0) * F.col("a")).cache()
     rows = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df)
-    model = GBTRegressor(labelCol="target", maxDepth=4, maxIter=6, seed=1).fit(rows)
-    scored = model.transform(rows).withColumn("inputs", F.array("a", "b", "c"))
-    for r in R.attribute(scored, R.model_leaves(spark, model), ["id", "prediction"]).collect():
-        assert sum(r["contributions"]) + r["base_value"] == pytest.approx(r["prediction"])
+    scored, nodes = [], []
+    for name, depth, trees in (("one", 4, 6), ("two", 6, 3)):
+        model = GBTRegressor(labelCol="target", maxDepth=depth, maxIter=trees, seed=1).fit(rows)
+        scored.append(model.transform(rows).select(F.lit(name).alias("slice"), F.col("id").alias("row"), F.array("a", "b", "c").alias("inputs"), "prediction"))
+        nodes.append(B.node_table(spark, model, name))
+    scored, nodes = scored[0].unionByName(scored[1]), nodes[0].unionByName(nodes[1])
+    parts = B.attribute(scored.drop("prediction"), B.leaf_paths(nodes, 6), ("a", "b", "c"))
+    sums = parts.groupBy("slice", "row").agg((F.sum("contribution") + F.first("base_value")).alias("s"), F.count("*").alias("n")).join(scored, ["slice", "row"]).collect()
+    assert len(sums) == 800 and all(r["n"] == 3 and r["s"] == pytest.approx(r["prediction"]) for r in sums)
 
 
 def test_search_scores_all_settings(spark):
