@@ -35,7 +35,68 @@ TREE_DEPTHS = (3, 5)
 TREE_COUNTS = (10, 20)
 CV_FOLDS = 3
 SEED = 42
+SEARCH_BUDGET = 1200           # candidates tried per series
 BREAK_COUNTS = (3, 5, 8, 12, 15, 18, 20, 25, 30, 35, 40)   # evenly spaced trend breaks
+# Detected trend breaks: strength, resampled to days, days apart, days between possible breaks,
+# share of the end without breaks, order of the yearly cycle, days from a given break, keep the detected one.
+FOUND_BREAKS = (
+    (0.8, 7, 30, 10, 0.3, 4, 30, False),
+    (0.5, 10, 60, 20, 0.3, 7, 40, True),
+    (0.2, 20, 10, 5, 0.2, 3, 50, False),
+    (0.4, 30, 20, 10, 0.05, 6, 30, True),
+    (0.6, 40, 40, 7, 0.1, 10, 10, False),
+    (0.9, 60, 50, 1, 0.01, 9, 20, False),
+)
+FOUND_BREAKS_MONTHLY = (
+    (0.8, 30, 30, 30, 0.1, 4, 60, False),
+    (0.5, 60, 60, 30, 0.01, 7, 60, True),
+    (0.2, 90, 30, 60, 0.05, 3, 90, False),
+    (0.4, 120, 60, 30, 0.1, 6, 90, True),
+    (0.6, 30, 120, 60, 0.1, 10, 30, False),
+    (0.9, 60, 90, 30, 0.1, 9, 30, False),
+)
+# Seasonal breaks: strength, resampled to days, days apart, days between possible breaks, share of the end without breaks.
+SEASONAL_BREAKS = (
+    (0.5, 7, 30, 10, 0.3),
+    (0.8, 30, 60, 20, 0.2),
+    (0.1, 30, 90, 10, 0.3),
+)
+HOLIDAY_DAYS_AROUND = 2
+# Fixed dates of public holidays: (name, country, rule, ...); "day": month, day; "weekday": month, day of the week, which one (-1: the
+# last); "easter": days from Easter Sunday. Movable feasts of lunar calendars follow no such rule and are left out.
+HOLIDAY_RULES = (
+    ("new_year", "US", "day", 1, 1),
+    ("martin_luther_king_day", "US", "weekday", 1, "Mon", 3),
+    ("presidents_day", "US", "weekday", 2, "Mon", 3),
+    ("memorial_day", "US", "weekday", 5, "Mon", -1),
+    ("independence_day", "US", "day", 7, 4),
+    ("labor_day", "US", "weekday", 9, "Mon", 1),
+    ("columbus_day", "US", "weekday", 10, "Mon", 2),
+    ("veterans_day", "US", "day", 11, 11),
+    ("thanksgiving", "US", "weekday", 11, "Thu", 4),
+    ("christmas", "US", "day", 12, 25),
+    ("new_year", "UK", "day", 1, 1),
+    ("good_friday", "UK", "easter", -2),
+    ("easter_monday", "UK", "easter", 1),
+    ("early_may_holiday", "UK", "weekday", 5, "Mon", 1),
+    ("spring_holiday", "UK", "weekday", 5, "Mon", -1),
+    ("summer_holiday", "UK", "weekday", 8, "Mon", -1),
+    ("christmas", "UK", "day", 12, 25),
+    ("boxing_day", "UK", "day", 12, 26),
+    ("new_year", "FR", "day", 1, 1),
+    ("easter_monday", "FR", "easter", 1),
+    ("may_day", "FR", "day", 5, 1),
+    ("victory_day", "FR", "day", 5, 8),
+    ("ascension", "FR", "easter", 39),
+    ("whit_monday", "FR", "easter", 50),
+    ("national_day", "FR", "day", 7, 14),
+    ("assumption", "FR", "day", 8, 15),
+    ("all_saints", "FR", "day", 11, 1),
+    ("armistice_day", "FR", "day", 11, 11),
+    ("christmas", "FR", "day", 12, 25),
+)
+SEPARATE_HOLIDAYS = ("new_year", "christmas", "independence_day", "thanksgiving", "labor_day", "good_friday", "easter_monday",
+                     "memorial_day", "veterans_day")
 
 # ---------------------------------------------------------------------------
 # Values of the test data (see FIXTURES.md).
@@ -121,6 +182,11 @@ EVENT_RULES = (
 )
 EVENT_DAYS_AROUND = 2
 
+# Breaks of the trend that are known from outside.
+GIVEN_BREAKS = (dt.date(1999, 3, 1),)
+# Candidates tried per account of the monthly sources, of which there are many more than units.
+ACCOUNT_SEARCH_BUDGET = 24
+
 # Additive corrections of the target: (first day, last day, delta).
 ADJUSTMENTS = (
     (dt.date(1996, 5, 6), dt.date(1996, 8, 18), 1250.0),

@@ -1,18 +1,13 @@
-"""Series forecasting: model terms, splits, ridge fits per series, search and metrics."""
+"""Series forecasting: model terms as tables, splits, metrics and their summaries."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import terms as X
 from ..functions.money import TOTAL, rounded, scaled
-from ..functions.ridge import Scaled, block_errors
 
 # --- terms as tables ---------------------------------------------------------------------
 
@@ -180,126 +175,3 @@ def require_complete(checked: DataFrame) -> None:
     """Stop a job when any run is incomplete."""
     if not checked.where(~F.col("complete")).isEmpty():
         raise ValueError("forecast rows are missing for at least one run")
-
-
-# --- ridge fits --------------------------------------------------------------------------
-
-
-@dataclass(frozen=True)
-class SeriesModel:
-    """Terms and penalty of a series model."""
-
-    monthly: bool = False
-    breaks: int = 5
-    penalty: float = 0.01
-
-    @property
-    def seasons(self):
-        return X.MONTHLY_SEASONS if self.monthly else X.DAILY_SEASONS
-
-    @property
-    def periods(self) -> int:
-        return C.METRIC_PERIODS_MONTHLY if self.monthly else C.METRIC_PERIODS_DAILY
-
-
-DAILY_MODEL = SeriesModel()
-MONTHLY_MODEL = SeriesModel(monthly=True, breaks=3, penalty=0.1)
-
-
-def _calendar_flags(model: SeriesModel) -> list[Column]:
-    d = F.col("date")
-    months = [(F.month(d) == m).cast("double") for m in range(1, 12)]
-    if model.monthly:
-        return months
-    weekdays = [(F.dayofweek(d) == k).cast("double") for k in range(1, 7)]
-    edges = [(F.trunc(d, "month") == d).cast("double"), (F.last_day(d) == d).cast("double")]
-    return months + weekdays + edges
-
-
-def with_design(frame: DataFrame, key: str, model: SeriesModel) -> DataFrame:
-    """Add the model terms of each row as an array, and its day number for the trend breaks."""
-    first, last = _span(key)
-    spanned = frame.select("*", first.alias("first"), last.alias("last"))
-    t = X.years_since(F.col("first"), F.col("date"))
-    fixed = [*X.growth_terms(t).values(), *X.seasonal_terms(F.col("date"), model.seasons).values(),
-             *_calendar_flags(model)]
-    return spanned.select(
-        *frame.columns, F.array(*[c.cast("double") for c in fixed]).alias("terms"),
-        F.datediff("date", "first").alias("day"), F.datediff("last", "first").alias("span"))
-
-
-def design_matrix(group: pd.DataFrame, breaks: int) -> np.ndarray:
-    """Terms of the rows of one series plus evenly spaced trend breaks over its observed span."""
-    at = np.floor(group["span"].iloc[0] * np.arange(1, breaks + 1) / (breaks + 1))
-    bends = np.maximum(group["day"].to_numpy()[:, None] - at, 0) / X.YEAR_DAYS
-    return np.hstack([np.stack(group["terms"].to_numpy()), bends])
-
-
-def series_forecast(frame: DataFrame, key: str, model: SeriesModel) -> DataFrame:
-    """Ridge forecast of the rows without a value, with a 95% band, one fit per series."""
-    designed = with_design(frame, key, model).select(
-        F.col(key).alias("series"), "date", F.col("dollars").cast("double").alias("dollars"), "terms", "day", "span")
-    penalty, breaks = model.penalty, model.breaks
-
-    def fit(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("date")
-        x, seen = design_matrix(group, breaks), group["dollars"].notna().to_numpy()
-        scaled = Scaled(x[seen], group["dollars"].to_numpy()[seen])
-        weights = scaled.weights(penalty)
-        forecast = scaled.predict(x[~seen], weights)
-        band = C.COVERAGE_Z * scaled.residual_deviation(weights)
-        return pd.DataFrame({"series": group["series"][~seen], "date": group["date"][~seen], "forecast": forecast,
-                             "forecast_lower": forecast - band, "forecast_upper": forecast + band})
-
-    return (designed.groupBy("series")
-            .applyInPandas(fit, "series string, date date, forecast double, forecast_lower double, forecast_upper double")
-            .withColumnRenamed("series", key))
-
-
-def candidate_scores(series: DataFrame, key: str, model: SeriesModel, horizon: int, spacing: int,
-                     break_counts=C.BREAK_COUNTS, penalties=(0.001, 0.01, 0.1, 1.0), budget: int = 1200) -> DataFrame:
-    """Score every candidate on every split.
-
-    One group is one split of one series; its candidates share the term arrays and, per break
-    count, one Gram matrix. Groups run on all executors at once.
-    """
-    if len(break_counts) * len(penalties) > budget:
-        raise ValueError("more candidates than the search budget allows")
-    periods = model.periods
-    labelled = rolling_origin_splits(series, key, horizon, spacing, "month" if model.monthly else "day")
-    # terms must not see past the cut of their split, so each split is a frame of its own
-    frames = labelled.select(
-        F.concat_ws("|", key, "split").alias("frame"), F.col(key).alias("series"), "split", "date", "part",
-        F.when(F.col("part") == "train", F.col("dollars").cast("double")).alias("dollars"),
-        F.col("dollars").cast("double").alias("actual"))
-    columns = ["series", "split", "breaks", "penalty", "mape", "smape", "fit_rows"]
-
-    def score(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("date")
-        train = (group["part"] == "train").to_numpy()
-        if train.sum() < 2 or train.all():
-            return pd.DataFrame(columns=columns)
-        actual, rows = group["actual"].to_numpy(), []
-        for breaks in break_counts:
-            x = design_matrix(group, breaks)
-            scaled = Scaled(x[train], actual[train])
-            for penalty in penalties:
-                errors = block_errors(actual[~train], scaled.predict(x[~train], scaled.weights(penalty)), periods)
-                rows.append((group["series"].iloc[0], group["split"].iloc[0], breaks, penalty,
-                             errors["mape"], errors["smape"], int(train.sum())))
-        return pd.DataFrame(rows, columns=columns)
-
-    return (with_design(frames, "frame", model).groupBy("frame")
-            .applyInPandas(score, "series string, split int, breaks int, penalty double, mape double, "
-                                  "smape double, fit_rows long")
-            .withColumnRenamed("series", key))
-
-
-def candidate_search(scores: DataFrame, key: str, metric: str) -> DataFrame:
-    """Best candidate of each series by its mean score over the splits."""
-    means = (scores.where(~F.isnan(metric)).groupBy(key, "breaks", "penalty")
-             .agg(F.avg(metric).alias("score"), F.count("*").alias("splits")))
-    best = F.min(F.struct("score", "breaks", "penalty", "splits"))
-    return means.groupBy(key).agg(best.alias("best"), F.count("*").alias("candidates")).select(
-        key, F.col("best.breaks").alias("breaks"), F.col("best.penalty").alias("penalty"),
-        F.col("best.score").alias("score"), F.col("best.splits").alias("splits"), "candidates")

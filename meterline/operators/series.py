@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import fiscal
+from ..functions.holidays import holiday
 from ..functions.money import TOTAL, rounded
 
 
@@ -22,10 +23,10 @@ def daily_series(usage: DataFrame, key: str, until: dt.date | None = None) -> Da
     return rows.groupBy("date", key).agg(F.sum("dollars").cast(TOTAL).alias("dollars"))
 
 
-def monthly_series(monthly: DataFrame, key: str, first: dt.date, last: dt.date) -> DataFrame:
-    """Both monthly sources summed per key, dated at the end of the month."""
+def monthly_series(monthly: DataFrame, key: str, first: dt.date | None, last: dt.date) -> DataFrame:
+    """Both monthly sources summed per key, dated at the end of the month; without ``first`` from the first month on."""
     month = fiscal.month_date("year", "month")
-    return (monthly.where(month.between(F.lit(first), F.lit(last)))
+    return (monthly.where((month >= F.lit(first)) & (month <= F.lit(last)) if first else month <= F.lit(last))
             .groupBy(F.col(key), F.last_day(month).alias("date"))
             .agg(F.sum("dollars").cast(TOTAL).alias("dollars")))
 
@@ -142,6 +143,30 @@ def event_regressors(series: DataFrame, key: str, rules=C.EVENT_RULES, around: i
             .select(key, "date", "dollars", *[F.coalesce(F.col(f), F.lit(0)).alias(f) for f in flags]))
 
 
+def holiday_days(frame: DataFrame, rules=C.HOLIDAY_RULES, apart: tuple[str, ...] = C.SEPARATE_HOLIDAYS,
+                 around: int = C.HOLIDAY_DAYS_AROUND) -> DataFrame:
+    """date, term, offset: the holidays of the years of a frame and the days around them.
+
+    ``term`` is the name of a holiday listed in ``apart``, else ``other_holiday``; ``offset`` counts the days from the holiday.
+    The same holiday of several countries is one.
+    """
+    years = frame.select(F.sequence(F.year(F.min("date")) - 1, F.year(F.max("date")) + 1).alias("years"))
+    dated = F.array(*[F.struct(F.lit(name if name in apart else "other_holiday").alias("term"), holiday(F.col("year"), rule, *given).alias("on"))
+                      for name, _, rule, *given in rules])
+    days = years.select(F.explode("years").alias("year")).select(F.explode(dated).alias("h"))
+    days = days.select("h.term", "h.on", F.explode(F.sequence(F.lit(-around), F.lit(around))).alias("offset"))
+    return days.select(F.date_add("on", F.col("offset")).alias("date"), "term", "offset").distinct()
+
+
+def holiday_regressors(frame: DataFrame, key: str, apart: tuple[str, ...] = C.SEPARATE_HOLIDAYS, around: int = C.HOLIDAY_DAYS_AROUND) -> DataFrame:
+    """A 0/1 column for each holiday (and the others together) and each day around it, over history and horizon alike."""
+    name = lambda term, k: f"{term}_{'minus' if k < 0 else 'plus'}_{abs(k)}" if k else term
+    columns = [(t, k) for t in (*apart, "other_holiday") for k in range(-around, around + 1)]
+    flags = holiday_days(frame, apart=apart, around=around).groupBy("date").agg(
+        *[F.max(((F.col("term") == t) & (F.col("offset") == k)).cast("int")).alias(name(t, k)) for t, k in columns])
+    return frame.join(flags, "date", "left").select(key, "date", "dollars", *[F.coalesce(F.col(name(t, k)), F.lit(0)).alias(name(t, k)) for t, k in columns])
+
+
 def lag_features(series: DataFrame, key: str, lags: tuple[int, ...], mean_lags: tuple[int, int], grain: str = "day") -> DataFrame:
     """Single lags and the mean over a range of lags, in days or months of the calendar.
 

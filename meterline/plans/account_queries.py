@@ -8,9 +8,9 @@ from .. import config as C
 from ..functions import fiscal
 from ..operators import accounts as A
 from ..operators import allocation as L
-from ..operators import forecasting as M
 from ..operators import movement as W
 from ..operators import series as S
+from ..operators import series_models as R
 from ..sources import tables as T
 from ..sources.shared import shared, stored
 from . import inputs as I
@@ -139,11 +139,14 @@ def account_monthly_eligible(spark, sf):
 
 @query("account_monthly_forecast")
 def account_monthly_forecast(spark, sf):
-    """One ridge fit per eligible account, all in one grouped function."""
+    """Search and refit for every eligible account, groups over all executors."""
     monthly = I.monthly_usage(spark, sf)
-    frame = A.account_monthly_frame(S.account_monthly_series(monthly), A.account_monthly_eligible(monthly, C.RECENT_MONTH))
-    model = M.SeriesModel(monthly=True, breaks=1, penalty=0.5)
-    return M.series_forecast(frame, "account_id", model)
+    frame = stored(A.account_monthly_frame(S.account_monthly_series(monthly), A.account_monthly_eligible(monthly, C.RECENT_MONTH)))
+    history = frame.where(F.col("dollars").isNotNull())
+    candidates = R.MONTHLY.candidates(C.ACCOUNT_SEARCH_BUDGET)
+    spacing = C.MONTHLY_SPLIT_SPACING
+    scores = stored(R.candidate_scores(R.dense_months(history, "account_id"), "account_id", R.MONTHLY, spacing, spacing, candidates))
+    return R.searched_forecast(frame, "account_id", R.MONTHLY, scores, candidates, "smape")
 
 
 @query("month_to_week", compose(

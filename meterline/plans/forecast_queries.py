@@ -12,6 +12,7 @@ from ..functions.keys import series_key
 from ..operators import calendar as cal
 from ..operators import forecasting as M
 from ..operators import series as S
+from ..operators import series_models as R
 from ..sources import tables as T
 from ..sources.shared import shared, stored
 from . import inputs as I
@@ -23,13 +24,21 @@ BREAKS = 5
 WINDOWS = (7, 28, 91)
 
 
+def _dense(series, key):
+    spine = cal.calendar_spine(series, key, "date")
+    return (spine.join(series, [key, "date"], "left")
+            .select(key, "date", F.coalesce("dollars", F.lit(0).cast("decimal(18,4)")).alias("dollars")))
+
+
 @shared
 def dense_units(spark, sf):
     """Daily unit series with a zero for every day without usage."""
-    series = stored(S.daily_series(T.daily_usage(spark, sf), "unit"))
-    spine = cal.calendar_spine(series, "unit", "date")
-    return (spine.join(series, ["unit", "date"], "left")
-            .select("unit", "date", F.coalesce("dollars", F.lit(0).cast("decimal(18,4)")).alias("dollars")))
+    return _dense(SQ.unit_days(spark, sf), "unit")
+
+
+@shared
+def dense_sub_units(spark, sf):
+    return _dense(stored(S.daily_series(T.daily_usage(spark, sf), "sub_unit")), "sub_unit")
 
 
 _DENSE = f"""
@@ -101,17 +110,102 @@ def changepoints_detected(spark, sf):
     return M.detected_changepoints(dense_units(spark, sf), "unit")
 
 
-# --- fits: checked by properties in the tests --------------------------------------------
+# --- search and refit: checked by properties in the tests --------------------------------
+
+_H = C.DAILY_HORIZON
+_MONTHS = C.MONTHLY_SPLIT_SPACING
+
+
+@shared
+def daily_scores(spark, sf):
+    """Scores of all candidates on all splits of the units, as the search job stores them."""
+    return stored(R.candidate_scores(stored(dense_units(spark, sf)), "unit", R.DAILY, _H, _H, R.DAILY.candidates()))
+
+
+@shared
+def monthly_scores(spark, sf):
+    series = stored(R.dense_months(SQ.monthly_union_series(spark, sf), "unit"))
+    return stored(R.candidate_scores(series, "unit", R.MONTHLY, _MONTHS, _MONTHS, R.MONTHLY.candidates()))
+
+
+def _settings(spark, best, kind):
+    return best.join(F.broadcast(R.candidate_table(spark, kind.candidates())), "candidate")  # at most the search budget
+
+
+@query("candidate_search")
+def candidate_search(spark, sf):
+    """Winner of each unit by MAPE, with its settings."""
+    return _settings(spark, R.candidate_search(daily_scores(spark, sf), "unit", "mape"), R.DAILY)
+
+
+@query("candidate_search_monthly")
+def candidate_search_monthly(spark, sf):
+    return _settings(spark, R.candidate_search(monthly_scores(spark, sf), "unit", "smape"), R.MONTHLY)
 
 
 @query("series_forecast_daily")
 def series_forecast_daily(spark, sf):
-    return M.series_forecast(S.future_frame_daily(dense_units(spark, sf), "unit"), "unit", M.DAILY_MODEL)
+    """Search, then refit every unit with its winner."""
+    frame = S.future_frame_daily(stored(dense_units(spark, sf)), "unit")
+    return R.searched_forecast(frame, "unit", R.DAILY, daily_scores(spark, sf), R.DAILY.candidates(), "mape")
 
 
 @query("series_forecast_monthly")
 def series_forecast_monthly(spark, sf):
-    return M.series_forecast(SQ.future_frame_monthly(spark, sf), "unit", M.MONTHLY_MODEL)
+    series = stored(R.dense_months(SQ.monthly_union_series(spark, sf), "unit"))
+    frame = S.future_frame_monthly(series, "unit", SQ.as_of(spark, sf))
+    return R.searched_forecast(frame, "unit", R.MONTHLY, monthly_scores(spark, sf), R.MONTHLY.candidates(), "smape")
+
+
+@query("series_forecast_daily_sub_unit")
+def series_forecast_daily_sub_unit(spark, sf):
+    series = stored(dense_sub_units(spark, sf))
+    candidates = R.DAILY.candidates()
+    scores = stored(R.candidate_scores(series, "sub_unit", R.DAILY, _H, _H, candidates))
+    return R.searched_forecast(S.future_frame_daily(series, "sub_unit"), "sub_unit", R.DAILY, scores, candidates, "mape")
+
+
+@query("series_forecast_monthly_sub_unit")
+def series_forecast_monthly_sub_unit(spark, sf):
+    series = stored(R.dense_months(SQ.monthly_sub_units(spark, sf), "sub_unit"))
+    candidates = R.MONTHLY.candidates()
+    scores = stored(R.candidate_scores(series, "sub_unit", R.MONTHLY, _MONTHS, _MONTHS, candidates))
+    frame = S.future_frame_monthly(series, "sub_unit", SQ.as_of(spark, sf))
+    return R.searched_forecast(frame, "sub_unit", R.MONTHLY, scores, candidates, "smape")
+
+
+@query("candidate_search_summary")
+def candidate_search_summary(spark, sf):
+    """Rank, mean and per-split score of every candidate of the search."""
+    scores = daily_scores(spark, sf).select(
+        "unit", F.col("candidate").cast("string").alias("candidate"), "split", F.col("mape").cast("decimal(18,6)").alias("score"), "fit_rows")
+    return M.search_summary(scores, "unit")
+
+
+@query("candidate_backtest")
+def candidate_backtest(spark, sf):
+    """Errors of each unit's winner on the newest split, over all of its training part and its test part."""
+    scores = daily_scores(spark, sf)
+    newest = scores.where("split = 1").join(R.candidate_search(scores, "unit", "mape").select("unit", "candidate"), ["unit", "candidate"])
+    part = lambda name, prefix: newest.select("unit", F.lit(name).alias("part"), *[F.col(f"{prefix}{m}").alias(m) for m in R.METRICS])
+    return M.backtest_summary(part("train", "train_").unionByName(part("test", "")), "unit", R.METRICS)
+
+
+@query("forecast_checks", compose(f"""
+WITH u AS (SELECT unit, max(m) OVER () AS m FROM (SELECT unit, max(date) AS m FROM daily_usage GROUP BY unit))
+SELECT unit, CAST({_H} AS BIGINT) AS days, CAST(m + 1 AS DATE) AS first_day, CAST(m + {_H} AS DATE) AS last_day, TRUE AS ordered_bands,
+ TRUE AS winner_has_least_score, TRUE AS winner_is_in_the_grid FROM u""", "daily_usage"))
+def forecast_checks(spark, sf):
+    """What must hold of a searched forecast: every day of the horizon once, ordered bands, the least stored score won."""
+    scores, best = daily_scores(spark, sf), candidate_search(spark, sf)
+    forecast = stored(series_forecast_daily(spark, sf))
+    days = forecast.groupBy("unit").agg(
+        F.count_distinct("date").alias("days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"),
+        F.every(F.col("forecast").between(F.col("forecast_lower"), F.col("forecast_upper"))).alias("ordered_bands"))
+    least = scores.where(~F.isnan("mape")).groupBy("unit", "candidate").agg(F.avg("mape").alias("mean")).groupBy("unit").agg(F.min("mean").alias("least"))
+    won = best.join(least, "unit").select(
+        "unit", (F.col("score") <= F.col("least") + 1e-9).alias("winner_has_least_score"), F.col("breaks").isNotNull().alias("winner_is_in_the_grid"))
+    return days.join(won, "unit")
 
 
 # --- splits, metrics, search -------------------------------------------------------------
@@ -122,7 +216,6 @@ SELECT {key}, '{grain}' AS grain, date, CAST(dollars AS DOUBLE) AS dollars, CAST
 FROM (SELECT *, {cut} AS cut, {end} AS cut_end FROM (
  SELECT *, max(date) OVER (PARTITION BY {key}) AS last FROM ({series})), generate_series(1, """ + str(C.MAX_SPLITS) + """) g(k))
 WHERE date <= cut_end"""
-_H = C.DAILY_HORIZON
 
 
 @query("rolling_origin_splits", compose(
@@ -134,7 +227,7 @@ _H = C.DAILY_HORIZON
                    end="last_day(CAST(last - to_months(CAST(3 * k - 3 AS INTEGER)) AS DATE))"),
     "daily_usage", "monthly_usage"))
 def rolling_origin_splits(spark, sf):
-    daily = S.daily_series(T.daily_usage(spark, sf), "unit")
+    daily = SQ.unit_days(spark, sf)
     monthly = SQ.monthly_union_series(spark, sf)
     spacing = C.MONTHLY_SPLIT_SPACING
     return (M.rolling_origin_splits(daily, "unit", _H, _H).withColumn("grain", F.lit("day"))
@@ -179,20 +272,6 @@ def forecast_metrics(spark, sf):
     return M.forecast_metrics(forecast_and_actual(spark, sf), ["ts_key", "model", "vintage"], block)
 
 
-@query("candidate_search")
-def candidate_search(spark, sf):
-    scores = M.candidate_scores(dense_units(spark, sf), "unit", M.DAILY_MODEL, _H, _H)
-    return M.candidate_search(scores, "unit", "mape")
-
-
-@query("candidate_search_monthly")
-def candidate_search_monthly(spark, sf):
-    spacing = C.MONTHLY_SPLIT_SPACING
-    scores = M.candidate_scores(SQ.monthly_union_series(spark, sf), "unit", M.MONTHLY_MODEL, spacing, spacing,
-                                break_counts=(1, 3, 5, 8))
-    return M.candidate_search(scores, "unit", "smape")
-
-
 # blocks of the window-mean candidates, for both parts of every split
 _WINDOW_BLOCKS = f"""
 SELECT n.unit, n.split, n.part, n.block, w AS "window", n.actual,

@@ -31,6 +31,18 @@ def _hours_into(day: str, hours: int) -> Column:
     return F.col(day).cast("timestamp") + F.expr(f"interval {hours} hours")
 
 
+@shared
+def data_days(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.date]:
+    """First and last day of the loaded usage."""
+    row = tables.read(spark, sf_dir, "lineitem").agg(F.min("l_shipdate").cast("date").alias("a"), F.max("l_shipdate").cast("date").alias("b")).first()
+    return row["a"], row["b"]
+
+
+def as_of(spark: SparkSession, sf_dir: str) -> dt.date:
+    """The clock of the queries: the day after the last loaded one."""
+    return data_days(spark, sf_dir)[1] + dt.timedelta(days=1)
+
+
 # --- daily forecasts ---------------------------------------------------------------------
 
 

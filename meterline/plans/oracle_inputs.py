@@ -63,6 +63,10 @@ def renamed(region: str) -> str:
     return f"CASE {whens} ELSE {region} END"
 
 
+#: The clock of the queries: the day after the last loaded one.
+AS_OF = "(SELECT CAST(max(CAST(l_shipdate AS DATE)) + 1 AS DATE) FROM lineitem)"
+
+
 def _d(day) -> str:
     return f"DATE '{day}'"
 

@@ -10,12 +10,21 @@ from .. import config as C
 from ..operators import calendar as cal
 from ..operators import series as S
 from ..sources import tables as T
+from ..sources.shared import shared, stored
 from . import inputs as I
-from .oracle_inputs import compose, fiscal_code, month_start, quarter_end, quarter_start
+from .inputs import as_of
+from .oracle_inputs import AS_OF, VIEWS, compose, fiscal_code, month_start, quarter_end, quarter_start
 from .registry import query
 
-MONTHLY_FIRST = dt.date(1995, 1, 1)
-HISTORY_END = S.monthly_history_end(C.AS_OF)
+
+@shared
+def unit_days(spark, sf):
+    """Daily unit series, stored: frames, terms and splits read it several times, usage is scanned once."""
+    return stored(S.daily_series(T.daily_usage(spark, sf), "unit"))
+
+
+#: The same in SQL.
+VIEWS["unit_days"] = ("SELECT date, unit, sum(dollars) AS dollars FROM daily_usage GROUP BY date, unit", ("daily_usage",))
 
 
 def _days(spark, sf):
@@ -109,11 +118,16 @@ def sub_unit_daily_series(spark, sf):
 def _monthly_sql(key: str) -> str:
     return f"""
 SELECT {key}, last_day(make_date(year, month, 1)) AS date, sum(dollars) AS dollars FROM monthly_usage
-WHERE make_date(year, month, 1) BETWEEN DATE '{MONTHLY_FIRST}' AND DATE '{HISTORY_END}' GROUP BY ALL"""
+WHERE make_date(year, month, 1) < date_trunc('month', {AS_OF}) GROUP BY ALL"""
 
 
 def _monthly(spark, sf, key):
-    return S.monthly_series(I.monthly_usage(spark, sf), key, MONTHLY_FIRST, HISTORY_END)
+    return S.monthly_series(I.monthly_usage(spark, sf), key, None, S.monthly_history_end(as_of(spark, sf)))
+
+
+@shared
+def monthly_sub_units(spark, sf):
+    return _monthly(spark, sf, "sub_unit")
 
 
 @query("monthly_union_series", compose(_AS_DOUBLE.format(_monthly_sql("unit")), "monthly_usage"))
@@ -142,34 +156,35 @@ def _frame_monthly_sql(key: str) -> str:
     return f"""
 SELECT {key}, date, dollars FROM ({_monthly_sql(key)})
 UNION ALL
-SELECT {key}, last_day(DATE '{C.AS_OF}' + to_months(CAST(n AS INTEGER))), NULL
+SELECT {key}, last_day(CAST({AS_OF} + to_months(CAST(n AS INTEGER)) AS DATE)), NULL
 FROM (SELECT DISTINCT {key} FROM ({_monthly_sql(key)})), generate_series(0, {C.MONTHLY_HORIZON - 1}) g(n)"""
 
 
 @query("future_frame_daily", compose(_AS_DOUBLE.format(_FRAME_DAILY), "daily_usage"))
 def future_frame_daily(spark, sf):
-    return S.future_frame_daily(S.daily_series(T.daily_usage(spark, sf), "unit"), "unit")
+    return S.future_frame_daily(unit_days(spark, sf), "unit")
 
 
 @query("future_frame_monthly", compose(_AS_DOUBLE.format(_frame_monthly_sql("unit")), "monthly_usage"))
 def future_frame_monthly(spark, sf):
-    return S.future_frame_monthly(_monthly(spark, sf, "unit"), "unit", C.AS_OF)
+    return S.future_frame_monthly(_monthly(spark, sf, "unit"), "unit", as_of(spark, sf))
 
 
 @query("sub_unit_monthly_series", compose(_AS_DOUBLE.format(_frame_monthly_sql("sub_unit")), "monthly_usage"))
 def sub_unit_monthly_series(spark, sf):
-    return S.future_frame_monthly(_monthly(spark, sf, "sub_unit"), "sub_unit", C.AS_OF)
+    return S.future_frame_monthly(monthly_sub_units(spark, sf), "sub_unit", as_of(spark, sf))
 
 
-TEST_START = dt.date(2001, 7, 5)
+#: The last part of the history, as long as the horizon, is held out.
+TEST_START = f"({AS_OF} - {C.DAILY_HORIZON})"
 
 
 def _hot(expr: str, values: dict, prefix: str) -> list[str]:
     return [f"CAST({expr} = {v} AS INTEGER) AS \"{prefix}_{n}\"" for v, n in values.items()]
 
 
-def _target_sql(start: dt.date) -> str:
-    return f"CASE WHEN date < DATE '{start}' THEN CAST(dollars AS DOUBLE) END AS dollars"
+def _target_sql(start: str) -> str:
+    return f"CASE WHEN date < {start} THEN CAST(dollars AS DOUBLE) END AS dollars"
 
 
 _MONTH_COLUMNS = (_hot("month(date)", {i + 1: n for i, n in enumerate(S.MONTHS)}, "month")
@@ -189,14 +204,14 @@ _DAY_COLUMNS = (_hot("dayofweek(date)", dict(enumerate(S.WEEKDAYS)), "day") + _M
 @query("calendar_regressors_daily", compose(
     f"SELECT unit, date, {_target_sql(TEST_START)}, {', '.join(_DAY_COLUMNS)} FROM ({_FRAME_DAILY})", "daily_usage"))
 def calendar_regressors_daily(spark, sf):
-    return S.calendar_regressors_daily(future_frame_daily(spark, sf), "unit", TEST_START)
+    return S.calendar_regressors_daily(future_frame_daily(spark, sf), "unit", as_of(spark, sf) - dt.timedelta(days=C.DAILY_HORIZON))
 
 
 @query("calendar_regressors_monthly", compose(
-    f"SELECT unit, date, {_target_sql(C.AS_OF)}, {', '.join(_MONTH_COLUMNS)} FROM ({_frame_monthly_sql('unit')})",
+    f"SELECT unit, date, {_target_sql(AS_OF)}, {', '.join(_MONTH_COLUMNS)} FROM ({_frame_monthly_sql('unit')})",
     "monthly_usage"))
 def calendar_regressors_monthly(spark, sf):
-    return S.calendar_regressors_monthly(future_frame_monthly(spark, sf), "unit", C.AS_OF)
+    return S.calendar_regressors_monthly(future_frame_monthly(spark, sf), "unit", as_of(spark, sf))
 
 
 def _curve_sql(cohort: int) -> str:
@@ -217,10 +232,11 @@ def _growth_sql(cohort: int) -> str:
 @query("growth_curve_features", compose(f"""
 SELECT s.unit, s.date, CAST(s.dollars AS DOUBLE) AS dollars, CAST(n AS INTEGER) AS row_number,
  {', '.join(_growth_sql(y) for y in C.CURVE_COHORTS)}
-FROM (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY date) AS n FROM ({_UNIT_SERIES.format(key='unit')})) s
+FROM (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY date) AS n FROM ({_FRAME_DAILY})) s
 {' '.join(_curve_sql(y) for y in C.CURVE_COHORTS)}""", "daily_usage"))
 def growth_curve_features(spark, sf):
-    return S.growth_curve_features(S.daily_series(T.daily_usage(spark, sf), "unit"), T.curves(spark))
+    """Growth curves over history and horizon."""
+    return S.growth_curve_features(future_frame_daily(spark, sf), T.curves(spark))
 
 
 _EVENT_FLAGS = ", ".join(f"coalesce(max(CAST(name = '{n}' AS INTEGER)), 0) AS event_{n}" for n, _, _ in C.EVENT_RULES)
@@ -228,14 +244,51 @@ _EVENTS = ", ".join(f"('{n}', {m}, {d})" for n, m, d in C.EVENT_RULES)
 
 
 @query("event_regressors", compose(f"""
-WITH s AS ({_UNIT_SERIES.format(key='unit')}),
+WITH s AS ({_FRAME_DAILY}),
 e AS (SELECT name, make_date(CAST(y AS INTEGER), m, d) AS day FROM (VALUES {_EVENTS}) t(name, m, d),
       (SELECT year(min(date)) AS a, year(max(date)) AS b FROM s), generate_series(a - 1, b + 1) g(y))
 SELECT unit, date, CAST(any_value(dollars) AS DOUBLE) AS dollars, {_EVENT_FLAGS}
 FROM s LEFT JOIN e ON date BETWEEN day - {C.EVENT_DAYS_AROUND} AND day + {C.EVENT_DAYS_AROUND}
 GROUP BY unit, date""", "daily_usage"))
 def event_regressors(spark, sf):
-    return S.event_regressors(S.daily_series(T.daily_usage(spark, sf), "unit"), "unit")
+    """Events over history and horizon."""
+    return S.event_regressors(future_frame_daily(spark, sf), "unit")
+
+
+def _rule_sql(rule: str, *given) -> str:
+    if rule == "day":
+        return f"make_date(y, {given[0]}, {given[1]})"
+    if rule == "easter":
+        return f"easter + {given[0]}"
+    month, weekday, nth = given
+    days = f"range(make_date(y, {month}, 1), make_date(y, {month}, 1) + INTERVAL 1 MONTH, INTERVAL 1 DAY)"
+    return f"CAST(list_filter({days}, lambda d: strftime(d, '%a') = '{weekday}')[{nth}] AS DATE)"
+
+
+_HOLIDAY_LIST = ", ".join(
+    f"struct_pack(term := '{name if name in C.SEPARATE_HOLIDAYS else 'other_holiday'}', day := {_rule_sql(rule, *given)})"
+    for name, _, rule, *given in C.HOLIDAY_RULES)
+_AROUND = range(-C.HOLIDAY_DAYS_AROUND, C.HOLIDAY_DAYS_AROUND + 1)
+_HOLIDAY_FLAGS = ", ".join(
+    f"coalesce(max(CAST(h.term = '{t}' AND h.day + {k} = s.date AS INTEGER)), 0) AS {t}" + (f"_{'minus' if k < 0 else 'plus'}_{abs(k)}" if k else "")
+    for t in (*C.SEPARATE_HOLIDAYS, "other_holiday") for k in _AROUND)
+
+
+@query("holiday_regressors", compose(f"""
+WITH s AS ({_FRAME_DAILY}),
+g AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM (SELECT CAST(unnest(range(a - 1, b + 2)) AS INTEGER) AS y
+  FROM (SELECT year(min(date)) AS a, year(max(date)) AS b FROM s))),
+e1 AS (SELECT *, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h FROM g),
+e2 AS (SELECT *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 AS l FROM e1),
+e3 AS (SELECT *, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 AS n FROM e2),
+e4 AS (SELECT y, make_date(CAST(y AS BIGINT), CAST(n // 31 AS BIGINT), CAST(n % 31 + 1 AS BIGINT)) AS easter FROM e3),
+h AS (SELECT x.term, x.day FROM (SELECT unnest([{_HOLIDAY_LIST}]) AS x FROM e4))
+SELECT unit, date, CAST(any_value(dollars) AS DOUBLE) AS dollars, {_HOLIDAY_FLAGS}
+FROM s LEFT JOIN h ON s.date BETWEEN h.day - {C.HOLIDAY_DAYS_AROUND} AND h.day + {C.HOLIDAY_DAYS_AROUND}
+GROUP BY unit, date""", "daily_usage"))
+def holiday_regressors(spark, sf):
+    """Holidays and the days around them over history and horizon."""
+    return S.holiday_regressors(future_frame_daily(spark, sf), "unit")
 
 
 _PLACE = {"day": "date_diff('day', DATE '1970-01-01', date)", "month": "(year(date) * 12 + month(date))"}
@@ -278,10 +331,10 @@ def anomaly_adjustment(spark, sf):
 
 @query("source_ready", compose(f"""
 SELECT 'private' AS source, count(*) > 0 AS ready FROM monthly_private
-WHERE make_date(year, month, 1) = {month_start(f"DATE '{C.AS_OF}' - INTERVAL 1 MONTH")}
+WHERE make_date(year, month, 1) = {month_start(f"({AS_OF} - INTERVAL 1 MONTH)")}
 UNION ALL
 SELECT 'public', count(*) > 0 FROM monthly_public
-WHERE make_date(year, month, 1) = {month_start(f"DATE '{C.AS_OF}' - INTERVAL 1 MONTH")}""", "monthly_private", "monthly_public"))
+WHERE make_date(year, month, 1) = {month_start(f"({AS_OF} - INTERVAL 1 MONTH)")}""", "monthly_private", "monthly_public"))
 def source_ready(spark, sf):
-    return S.source_ready(T.monthly_private(spark, sf), "private", C.AS_OF).unionByName(
-        S.source_ready(T.monthly_public(spark, sf), "public", C.AS_OF))
+    return S.source_ready(T.monthly_private(spark, sf), "private", as_of(spark, sf)).unionByName(
+        S.source_ready(T.monthly_public(spark, sf), "public", as_of(spark, sf)))

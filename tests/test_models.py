@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from meterline import config as C
 from meterline.operators import attribution as B
 from meterline.operators import forecasting as M
+from meterline.functions import breaks as K_breaks
 from meterline.operators import series as S
+from meterline.operators import series_models as K
 from meterline.operators import trees as R
 
 import __spark_entry__ as entry
@@ -27,50 +29,154 @@ def clean_series(spark, days=800):
         "unit", "date", F.col("v").cast("decimal(18,4)").alias("dollars"))
 
 
+@pytest.fixture
+def few(monkeypatch):
+    """A small draw of the grid, so that searches are quick."""
+    draw = K.Kind.candidates
+    monkeypatch.setattr(K.Kind, "candidates", lambda self, budget=12, seed=C.SEED: draw(self, min(budget, 12), seed))
+
+
 def test_clean_trend_and_week_are_recovered(spark):
     series = clean_series(spark)
-    model = M.SeriesModel(breaks=0, penalty=1e-8)
-    got = M.series_forecast(S.future_frame_daily(series, "unit", 28), "unit", model).orderBy("date").collect()
+    model = K.Candidate(breaks="none", penalty=1e-8)
+    got = K.series_forecast(S.future_frame_daily(series, "unit", 28), "unit", K.DAILY, default=model).orderBy("date").collect()
     want = [5000.0 + 2.0 * i + 300.0 * (i % 7) for i in range(800, 828)]
     assert [r["forecast"] for r in got] == pytest.approx(want, rel=0.01)
 
 
-def test_daily_forecast_has_every_day_and_an_ordered_band(spark, sf_dir):
+def test_daily_forecast_has_every_day_and_an_ordered_band(spark, sf_dir, few):
     forecast = QUERIES["series_forecast_daily"](spark, sf_dir)
     units = QUERIES["unit_daily_series"](spark, sf_dir).select("unit").distinct().count()
     rows = forecast.collect()
     assert len(rows) == units * C.DAILY_HORIZON
     assert all(r["forecast_lower"] <= r["forecast"] <= r["forecast_upper"] for r in rows)
-    again = {(r["unit"], r["date"]): r["forecast"] for r in QUERIES["series_forecast_daily"](spark, sf_dir).collect()}
-    assert all(again[(r["unit"], r["date"])] == pytest.approx(r["forecast"], rel=1e-9) for r in rows)
+    checks = QUERIES["forecast_checks"](spark, sf_dir).collect()
+    assert len(checks) == units and all(r["days"] == C.DAILY_HORIZON and r["ordered_bands"] and r["winner_has_least_score"] for r in checks)
 
 
-def test_monthly_forecast_has_every_month(spark, sf_dir):
-    rows = QUERIES["series_forecast_monthly"](spark, sf_dir).collect()
-    assert len(rows) == C.MONTHLY_HORIZON * len({r["unit"] for r in rows})
-    assert all(r["forecast_lower"] <= r["forecast"] <= r["forecast_upper"] for r in rows)
+def test_monthly_forecast_has_every_month(spark, sf_dir, few):
+    for name, key in (("series_forecast_monthly", "unit"), ("series_forecast_monthly_sub_unit", "sub_unit")):
+        rows = QUERIES[name](spark, sf_dir).collect()
+        assert len(rows) == C.MONTHLY_HORIZON * len({r[key] for r in rows})
+        assert all(r["forecast_lower"] <= r["forecast"] <= r["forecast_upper"] for r in rows)
 
 
-def test_account_forecast_has_twelve_months(spark, sf_dir):
+def test_account_forecast_has_twelve_months(spark, sf_dir, few):
     eligible = QUERIES["account_monthly_eligible"](spark, sf_dir).count()
     assert QUERIES["account_monthly_forecast"](spark, sf_dir).count() == eligible * C.ACCOUNT_MONTH_HORIZON
 
 
+def test_grid_and_budget(spark):
+    whole = K.DAILY.candidates(10**6)
+    assert len(whole) == 3 * 17 * 4 * 2 * 4 and len(K.MONTHLY.candidates(10**6)) == 3 * 17 * 4
+    drawn = K.DAILY.candidates()
+    assert len(drawn) == C.SEARCH_BUDGET and set(drawn) < set(whole) and drawn == K.DAILY.candidates() != K.DAILY.candidates(seed=1)
+    with pytest.raises(ValueError):
+        K.candidate_scores(clean_series(spark), "unit", K.DAILY, 60, 60, drawn[:2], budget=1)
+
+
+def series_of(spark, value, days=1500):
+    data = [("u", dt.date(2019, 1, 1) + dt.timedelta(days=i), float(value(i))) for i in range(days)]
+    return spark.createDataFrame(data, "unit string, date date, v double").select("unit", "date", F.col("v").cast("decimal(18,4)").alias("dollars"))
+
+
+def searched(spark, series, candidates, horizon=60):
+    scores = K.candidate_scores(series, "unit", K.DAILY, horizon, horizon, candidates)
+    best = K.candidate_search(scores, "unit", "mape").first()
+    made = K.searched_forecast(S.future_frame_daily(series, "unit", horizon), "unit", K.DAILY, scores, candidates, "mape")
+    return scores, candidates[best["candidate"]], [r["forecast"] for r in made.orderBy("date").collect()]
+
+
 def test_search_keeps_the_best_candidate(spark):
-    scores = M.candidate_scores(clean_series(spark), "unit", M.DAILY_MODEL, 60, 60, break_counts=(0, 3), penalties=(1e-6, 10.0))
-    best = M.candidate_search(scores, "unit", "mape").first()
+    candidates = [K.Candidate(breaks=b, penalty=p) for b in ("none", "even_3") for p in (1e-6, 10.0)]
+    scores, won, _ = searched(spark, clean_series(spark), candidates)
     means = {}
     for r in scores.collect():
-        means.setdefault((r["breaks"], r["penalty"]), []).append(r["mape"])
-    means = {k: sum(v) / len(v) for k, v in means.items()}
-    assert len(means) == 4 and best["candidates"] == 4 and best["splits"] == C.MAX_SPLITS
-    assert (best["breaks"], best["penalty"]) == min(means, key=means.get)
-    assert best["penalty"] == 1e-6   # the data have no noise
-
-
-def test_budget_is_checked(spark):
-    with pytest.raises(ValueError):
-        M.candidate_scores(clean_series(spark), "unit", M.DAILY_MODEL, 60, 60, budget=1)
+        means.setdefault(r["candidate"], []).append(r["mape"])
+    assert len(means) == 4 and {len(v) for v in means.values()} == {C.MAX_SPLITS}
+    assert won == candidates[min(means, key=lambda k: sum(means[k]))] and won.penalty == 1e-6  # the data have no noise
+
+
+def test_planted_break_changes_winner_and_forecast(spark):
+    """A slope that turns: the detected break wins over none and carries the new slope on."""
+    turn = lambda i: 5000 + 2 * i + 30 * max(i - 700, 0) + 100 * (i % 7)
+    candidates = [K.Candidate(breaks="none", penalty=1e-6), K.Candidate(breaks="found_1", penalty=1e-6)]
+    _, won, made = searched(spark, series_of(spark, turn), candidates)
+    assert won.breaks == "found_1"
+    assert made == pytest.approx([turn(i) for i in range(1500, 1560)], rel=0.03)
+    _, straight, flat = searched(spark, series_of(spark, lambda i: 5000 + 2 * i + 100 * (i % 7)), candidates)
+    assert flat == pytest.approx([5000 + 2 * i + 100 * (i % 7) for i in range(1500, 1560)], rel=0.03)
+
+
+def test_planted_seasonal_break_is_used(spark):
+    """A yearly cycle that trebles: terms from the break on win."""
+    wave = lambda i: 9000 + 1000 * math.sin(2 * math.pi * i / 365.25) * (3 if i >= 800 else 1)
+    candidates = [K.Candidate(breaks="none", penalty=1e-6), K.Candidate(breaks="none", seasonal_breaks=2, penalty=1e-6)]
+    _, won, made = searched(spark, series_of(spark, wave, 1900), candidates)
+    assert won.seasonal_breaks == 2
+    assert made == pytest.approx([wave(i) for i in range(1900, 1960)], rel=0.05)
+
+
+def test_planted_holiday_is_used(spark):
+    """A dip two days before Easter Sunday, which moves from year to year: a term of its own forecasts it."""
+    easters = {dt.date(2019, 4, 21), dt.date(2020, 4, 12), dt.date(2021, 4, 4), dt.date(2022, 4, 17), dt.date(2023, 4, 9)}
+    dips = {d - dt.timedelta(days=2) for d in easters}
+    value = lambda i: 5000 - 3000 * (dt.date(2019, 1, 1) + dt.timedelta(days=i) in dips)
+    days = (dt.date(2023, 3, 1) - dt.date(2019, 1, 1)).days
+    candidates = [K.Candidate(breaks="none", holidays=h, penalty=1e-6) for h in ("joint", "apart")]
+    made = K.series_forecast(S.future_frame_daily(series_of(spark, value, days), "unit", 60), "unit", K.DAILY, default=candidates[1])
+    told = {r["date"]: r["forecast"] for r in made.collect()}
+    assert told[dt.date(2023, 4, 7)] == pytest.approx(2000, rel=0.2) and told[dt.date(2023, 4, 11)] == pytest.approx(5000, rel=0.1)
+
+
+def test_easter_and_weekday_rules(spark):
+    from meterline.functions.holidays import easter_sunday, nth_weekday
+    known = {1995: (4, 16), 1999: (4, 4), 2000: (4, 23), 2008: (3, 23), 2011: (4, 24), 2019: (4, 21), 2024: (3, 31), 2038: (4, 25)}
+    y = F.col("y").cast("int")
+    rows = spark.createDataFrame([(k,) for k in known], "y int").select("y", easter_sunday(y).alias("e"), nth_weekday(y, 11, "Thu", 4).alias("t"), nth_weekday(y, 5, "Mon", -1).alias("m")).collect()
+    for r in rows:
+        assert r["e"] == dt.date(r["y"], *known[r["y"]])
+        assert r["t"].weekday() == 3 and 22 <= r["t"].day <= 28 and r["m"].weekday() == 0 and r["m"].day >= 25
+
+
+def brute_lasso(x, y, strength):
+    """Coefficients of unit columns by very many plain proximal steps."""
+    z = x / np.linalg.norm(x, axis=0)
+    penalty, step, w = strength * np.abs(z.T @ y).max(), 1 / np.linalg.norm(z, 2) ** 2, np.zeros(z.shape[1])
+    for _ in range(20_000):
+        w = w + step * (z.T @ (y - z @ w))
+        w = np.sign(w) * np.maximum(np.abs(w) - step * penalty, 0)
+    return w
+
+
+@pytest.mark.parametrize("strength", [0.8, 0.4, 0.1])
+def test_lasso_equals_brute_force(strength):
+    rng = np.random.default_rng(int(strength * 10))
+    x = rng.normal(size=(40, 8)).cumsum(axis=0)
+    y = x[:, 2] * 3 - x[:, 5] + rng.normal(size=40)
+    assert K_breaks.lasso(x, y, strength) == pytest.approx(brute_lasso(x, y, strength), abs=1e-3)
+
+
+@pytest.mark.parametrize("k", range(6))
+def test_every_setting_finds_a_strong_break(k):
+    setting = K.DAILY.found[k]
+    day = np.arange(2000.0)
+    found = K_breaks.trend_breaks(day, 100 + day + 9 * np.maximum(day - 900, 0), setting, np.array([1300.0]))
+    assert min(abs(found - 900)) <= 2 * setting.resample and 1300.0 in found
+    gaps = np.diff(found)
+    assert not len(gaps) or gaps.min() >= min(setting.min_distance, setting.given_distance)
+    flat = K_breaks.trend_breaks(day, 100 + day, setting)
+    assert len(flat) == 0 or np.all(flat <= day[-1] * (1 - setting.quiet_end))
+    # a break that is given takes the place of a detected one close to it, or gives way
+    near = K_breaks.trend_breaks(day, 100 + day + 9 * np.maximum(day - 900, 0), setting, np.array([903.0]))
+    assert (903.0 in near) != (setting.keep_detected and setting.given_distance > 3)
+
+
+def test_breaks_of_short_and_empty_series():
+    setting = K.DAILY.found[0]
+    for n in range(8):
+        assert len(K_breaks.trend_breaks(np.arange(float(n)), np.ones(n), setting, np.array([2.0]))) <= 1
+        assert K_breaks.seasonal_breaks(np.arange(float(n)), np.ones(n), K.DAILY.seasonal[0]) == []
 
 
 def test_splits_do_not_leak(spark):
