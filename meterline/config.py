@@ -101,25 +101,15 @@ SEPARATE_HOLIDAYS = ("new_year", "christmas", "independence_day", "thanksgiving"
 # ---------------------------------------------------------------------------
 # Values of the test data (see FIXTURES.md).
 # ---------------------------------------------------------------------------
-AS_OF = dt.date(2001, 1, 20)           # replaces the clock
 EPOCH_MONDAY = dt.date(1995, 1, 2)     # week number 0 of the weekly panel
-FIRST_VINTAGE = dt.date(2000, 8, 7)    # Mondays of fiscal quarters 3 and 4 of 2001
-LAST_VINTAGE = dt.date(2001, 1, 29)
-TWO_RUN_VINTAGE = dt.date(2000, 11, 13)      # has a second active run
-INACTIVE_RUN_VINTAGE = dt.date(2000, 12, 4)  # has a run that is switched off
-FIRST_MONTHLY_VINTAGE = dt.date(2000, 8, 1)
-LAST_MONTHLY_VINTAGE = dt.date(2001, 1, 1)
-FIRST_PLAN_QUARTER = dt.date(1999, 2, 1)     # fiscal quarters of 2000 and 2001
-LAST_PLAN_QUARTER = dt.date(2000, 11, 1)
-PANEL_WEEKS = 104
+# Vintages, months, plans, the panel and the clock follow the loaded days (plans/inputs.py); these are distances, not dates.
+VINTAGE_STEP = 28              # days between published runs, as long as the days a run looks back
+TWO_RUNS_BACK = 3              # this many vintages before the newest there is a second active run
+SWITCHED_OFF_BACK = 2          # and here a run that is switched off
+REPORT_DAYS_BEFORE_END = 11    # the report is read so many days before the end of the newest whole fiscal quarter
+RECENT_MONTHS = 10             # accounts without a month among the last ones are not forecast
 PRIVATE_FROM, PUBLIC_BELOW = 6000, 3000      # balances of accounts on private and public contracts; the rest report daily only
-ACCOUNT_VINTAGES = 6
-ACCOUNT_FIXTURE_WEEKS = 8
-OUTLOOK_WEEKS = 26
-ACCOUNT_AS_OF = dt.date(2001, 11, 5)         # day after the last loaded date
-RECENT_MONTH = dt.date(2001, 1, 1)           # accounts without a later month are not forecast
-MOVEMENT_FIRST = dt.date(2001, 8, 1)         # fiscal quarter shown for account movement
-MOVEMENT_LAST = dt.date(2001, 10, 31)
+ACCOUNT_VINTAGES = 6           # newest weekly runs of the account forecasts
 
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 SEGMENT_REGIONS = ("AFRICA", "AMERICA", "MIDDLE_EAST")   # planned by region and segment

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions import fiscal
 from ..operators import accounts as A
 from ..operators import allocation as L
 from ..operators import movement as W
@@ -14,12 +13,11 @@ from ..operators import series_models as R
 from ..sources import tables as T
 from ..sources.shared import shared, stored
 from . import inputs as I
-from .oracle_inputs import VIEWS, compose, quarter_end, scaled, week_start
+from .oracle_inputs import AS_OF, QUARTER_END, RECENT_MONTH, VIEWS, compose, quarter_start, scaled, week_start
 from .registry import query
 
 STEPS = 4
 _SMALL = "(coalesce(idle_12_weeks, FALSE) OR real = 0)"
-_AS_OF = f"DATE '{C.ACCOUNT_AS_OF}'"
 SCHEDULED = """
 SELECT account_id, CASE WHEN prediction + dollars < 0 THEN 0 ELSE prediction + dollars END AS forecast,
  train_date - 7 + week_ahead * 7 AS week, train_date, {small} AS small FROM {table}"""
@@ -29,7 +27,6 @@ VIEWS.update({
 SELECT DISTINCT account_id FROM account_week WHERE week = (SELECT max(week) FROM account_week)
  AND {_SMALL} AND end_week < week - {C.INACTIVE_WEEKS}""", ("account_week",)),
     "scheduled": (SCHEDULED.format(small=_SMALL, table="account_predictions"), ("account_predictions",)),
-    "scheduled_long": (SCHEDULED.format(small=_SMALL, table="account_predictions_long"), ("account_predictions_long",)),
     "small_forecast": ("""
 SELECT account_id, forecast, week, train_date FROM scheduled WHERE small
 UNION ALL SELECT account_id, 0, week, train_date FROM inactive, (
@@ -41,7 +38,7 @@ SELECT account_id, first_month, last_month, last_day(CAST(last_month + INTERVAL
 FROM (SELECT account_id, max(n) AS n, min(a) AS first_month, max(b) AS last_month FROM (
   SELECT account_id, source, count(*) AS n, min(make_date(year, month, 1)) AS a, max(make_date(year, month, 1)) AS b
   FROM monthly_usage GROUP BY account_id, source) GROUP BY account_id)
-WHERE n > {C.MIN_ROWS_FORECAST} AND last_month >= DATE '{C.RECENT_MONTH}'""", ("monthly_usage",)),
+WHERE n > {C.MIN_ROWS_FORECAST} AND last_month >= {RECENT_MONTH}""", ("monthly_usage",)),
     "account_months": (f"""
 SELECT e.account_id, last_day(CAST(e.last_month + to_months(CAST(k AS INTEGER)) AS DATE)) AS date,
  {scaled('s.total', 1, 's.n')} AS forecast,
@@ -62,13 +59,13 @@ UNION ALL SELECT account_id, 0, week, train_date FROM
  (SELECT DISTINCT week, train_date FROM month_weeks)""", ("month_weeks", "monthly_usage")),
     "shares": (f"""
 SELECT CAST(dayofweek(date) + 1 AS INTEGER) AS weekday, CAST(sum(dollars) AS DOUBLE) / CAST((
-  SELECT sum(dollars) FROM daily_usage WHERE date >= {_AS_OF} - {C.WEEKDAY_WINDOW_DAYS} AND date < {_AS_OF}) AS DOUBLE) AS share
-FROM daily_usage WHERE date >= {_AS_OF} - {C.WEEKDAY_WINDOW_DAYS} AND date < {_AS_OF} GROUP BY dayofweek(date)""", ("daily_usage",)),
+  SELECT sum(dollars) FROM daily_usage WHERE date >= {AS_OF} - {C.WEEKDAY_WINDOW_DAYS} AND date < {AS_OF}) AS DOUBLE) AS share
+FROM daily_usage WHERE date >= {AS_OF} - {C.WEEKDAY_WINDOW_DAYS} AND date < {AS_OF} GROUP BY dayofweek(date)""", ("daily_usage",)),
     "account_days": (f"""
 SELECT account_id, week + CAST(k AS INTEGER) AS date, train_date AS run_date,
  CAST(round(CAST(forecast AS DOUBLE) * share, 6) AS DECIMAL(28,6)) AS forecast
-FROM scheduled_long, generate_series(0, 6) g(k), shares WHERE weekday = dayofweek(week + CAST(k AS INTEGER)) + 1""",
-                     ("scheduled_long", "shares")),
+FROM scheduled, generate_series(0, 6) g(k), shares WHERE weekday = dayofweek(week + CAST(k AS INTEGER)) + 1""",
+                     ("scheduled", "shares")),
 })
 
 
@@ -134,14 +131,14 @@ def zero_fill_inactive(spark, sf):
 
 @query("account_monthly_eligible", compose("SELECT * FROM eligible", "eligible"))
 def account_monthly_eligible(spark, sf):
-    return A.account_monthly_eligible(I.monthly_usage(spark, sf), C.RECENT_MONTH)
+    return A.account_monthly_eligible(I.monthly_usage(spark, sf), I.recent_month(spark, sf))
 
 
 @query("account_monthly_forecast")
 def account_monthly_forecast(spark, sf):
     """Search and refit for every eligible account, groups over all executors."""
     monthly = I.monthly_usage(spark, sf)
-    frame = stored(A.account_monthly_frame(S.account_monthly_series(monthly), A.account_monthly_eligible(monthly, C.RECENT_MONTH)))
+    frame = stored(A.account_monthly_frame(S.account_monthly_series(monthly), A.account_monthly_eligible(monthly, I.recent_month(spark, sf))))
     history = frame.where(F.col("dollars").isNotNull())
     candidates = R.MONTHLY.candidates(C.ACCOUNT_SEARCH_BUDGET)
     spacing = C.MONTHLY_SPLIT_SPACING
@@ -176,7 +173,7 @@ WHERE week > (SELECT max(week_start) FROM account_week) AND week <= (SELECT max(
  AND train_date = (SELECT max(train_date) FROM scheduled WHERE NOT small)
 GROUP BY 1, 2, 3""", "scheduled", "small_forecast", "monthly_forecast_filled"))
 def combine_account_forecasts(spark, sf):
-    newest = T.read(spark, sf, "lineitem").select(fiscal.monday_of(F.max(F.to_date("l_shipdate")))).scalar()
+    newest = I.newest_week(spark, sf)
     return L.combine_account_forecasts(_of_population(spark, sf, False), zero_fill_inactive(spark, sf), _monthly_filled(spark, sf), newest)
 
 
@@ -206,7 +203,7 @@ def smooth_over_vintages_daily(spark, sf):
 
 @query("weekday_share", compose("SELECT weekday, share FROM shares", "shares"))
 def weekday_share(spark, sf):
-    return L.weekday_share(T.daily_usage(spark, sf), C.ACCOUNT_AS_OF)
+    return L.weekday_share(T.daily_usage(spark, sf), I.as_of(spark, sf))
 
 
 def _week_to_day(spark, sf):
@@ -222,11 +219,11 @@ def week_to_day(spark, sf):
 SELECT account_id, date, 'monthly' AS source, round(x, 6) AS dollars FROM (
  SELECT account_id, CAST(d AS DATE) AS date, CAST(total AS DOUBLE) / day(last) AS x FROM (
   SELECT account_id, last_day(make_date(year, month, 1)) AS last, sum(dollars) AS total FROM monthly_usage GROUP BY 1, 2),
- generate_series(date_trunc('month', last), CAST(last AS TIMESTAMP), INTERVAL 1 DAY) g(d)) WHERE date < {_AS_OF}
-UNION ALL SELECT account_id, date, 'daily', round(CAST(sum(dollars) AS DOUBLE), 6) FROM daily_usage WHERE date < {_AS_OF} GROUP BY 1, 2""",
+ generate_series(date_trunc('month', last), CAST(last AS TIMESTAMP), INTERVAL 1 DAY) g(d)) WHERE date < {AS_OF}
+UNION ALL SELECT account_id, date, 'daily', round(CAST(sum(dollars) AS DOUBLE), 6) FROM daily_usage WHERE date < {AS_OF} GROUP BY 1, 2""",
     "monthly_usage", "daily_usage"))
 def monthly_actuals_to_daily(spark, sf):
-    rows = L.monthly_actuals_to_daily(T.daily_usage(spark, sf), I.monthly_usage(spark, sf), C.ACCOUNT_AS_OF)
+    rows = L.monthly_actuals_to_daily(T.daily_usage(spark, sf), I.monthly_usage(spark, sf), I.as_of(spark, sf))
     return rows.withColumn("dollars", F.round("dollars", 6))
 
 
@@ -239,7 +236,7 @@ def latest_train_date(spark, sf):
 
 # --- A9 ----------------------------------------------------------------------------------
 
-_FIRST, _LAST = f"DATE '{C.MOVEMENT_FIRST}'", f"DATE '{C.MOVEMENT_LAST}'"
+_FIRST, _LAST = quarter_start(QUARTER_END), QUARTER_END
 VIEWS.update({
     "mapping": ("SELECT DISTINCT account_id, account_name, unit, sub_unit FROM daily_usage", ("daily_usage",)),
     "moving_forecast": (f"""
@@ -262,7 +259,7 @@ def account_mapping(spark, sf):
 def forecast_without_monthly_accounts(spark, sf):
     return W.forecast_without_monthly_accounts(
         I.account_day_forecast(spark, sf), T.monthly_private(spark, sf), T.monthly_public(spark, sf),
-        C.MOVEMENT_FIRST, C.MOVEMENT_LAST)
+        *I.newest_quarter(spark, sf))
 
 
 @shared
@@ -273,7 +270,7 @@ def moving_forecast(spark, sf):
 @query("actual_to_date_by_run", compose(_doubles("moving_actual"), "moving_actual"))
 def actual_to_date_by_run(spark, sf):
     usage = T.daily_usage(spark, sf)
-    return W.actual_to_date_by_run(usage, W.latest_mapping(usage), moving_forecast(spark, sf), C.MOVEMENT_FIRST)
+    return W.actual_to_date_by_run(usage, W.latest_mapping(usage), moving_forecast(spark, sf), I.newest_quarter(spark, sf)[0])
 
 
 @query("account_movement", compose(f"""

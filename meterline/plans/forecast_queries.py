@@ -259,7 +259,7 @@ def forecast_and_actual(spark, sf):
     models = I.model_forecast(spark, sf)
     ts_key = F.when(F.col("ts_key") == C.CARVE_OUT_KEY + C.KEY_SUFFIX, C.CARVE_OUT_PARENT + C.KEY_SUFFIX).otherwise(F.col("ts_key"))
     folded = models.groupBy(ts_key.alias("ts_key"), "model", "vintage", "date").agg(F.sum("y").alias("forecast"))
-    actual = (T.daily_usage(spark, sf).where(F.col("date") >= F.lit(C.FIRST_VINTAGE))
+    actual = (T.daily_usage(spark, sf)
               .groupBy(F.concat(series_key(F.col("region"), F.col("segment")), F.lit(C.KEY_SUFFIX)).alias("ts_key"), "date")
               .agg(F.sum("dollars").alias("actual")))
     return folded.join(actual, ["ts_key", "date"], "left").fillna({"actual": 0})

@@ -43,16 +43,56 @@ def as_of(spark: SparkSession, sf_dir: str) -> dt.date:
     return data_days(spark, sf_dir)[1] + dt.timedelta(days=1)
 
 
+def _quarter_start(day: dt.date) -> dt.date:
+    """First day of the fiscal quarter, which starts in February, May, August or November."""
+    months = day.year * 12 + day.month - 1
+    first = months - (months - 1) % 3
+    return dt.date(first // 12, first % 12 + 1, 1)
+
+
+def newest_quarter(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.date]:
+    """The newest fiscal quarter that is loaded as a whole."""
+    end = _quarter_start(as_of(spark, sf_dir)) - dt.timedelta(days=1)
+    return _quarter_start(end), end
+
+
+def report_day(spark: SparkSession, sf_dir: str) -> dt.date:
+    """The clock of the published tables, late in that quarter."""
+    return newest_quarter(spark, sf_dir)[1] - dt.timedelta(days=C.REPORT_DAYS_BEFORE_END)
+
+
+def last_vintage(spark: SparkSession, sf_dir: str) -> dt.date:
+    """The last Monday of that quarter; vintages go back from it to the first loaded day."""
+    end = newest_quarter(spark, sf_dir)[1]
+    return end - dt.timedelta(days=end.weekday())
+
+
+def vintage_before(spark: SparkSession, sf_dir: str, back: int) -> dt.date:
+    return last_vintage(spark, sf_dir) - dt.timedelta(days=back * C.VINTAGE_STEP)
+
+
+def recent_month(spark: SparkSession, sf_dir: str) -> dt.date:
+    day = as_of(spark, sf_dir)
+    months = day.year * 12 + day.month - 1 - C.RECENT_MONTHS
+    return dt.date(months // 12, months % 12 + 1, 1)
+
+
+def _vintages_after(day: Column, last: dt.date, until: Column) -> Column:
+    """Array of the vintages after ``day``, up to ``until`` and the last one; null for none."""
+    to_last = F.datediff(F.lit(last), day)
+    first = F.date_add(day, 1 + F.pmod(to_last - 1, F.lit(C.VINTAGE_STEP)))
+    end = F.least(until, F.lit(last))
+    return F.when(first <= end, F.sequence(first, end, F.expr(f"interval {C.VINTAGE_STEP} days")))
+
+
 # --- daily forecasts ---------------------------------------------------------------------
 
 
 @shared
 def _key_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily sums per key around the vintages, the carved-out part kept apart."""
+    """Daily sums per key, the carved-out part kept apart."""
     carved = (F.col("segment") == C.CARVE_OUT_SEGMENT) & (F.col("sub_unit") == C.CARVE_OUT_SUB_UNIT)
-    first_day = C.FIRST_VINTAGE - dt.timedelta(days=28)
-    return (tables.daily_usage(spark, sf_dir)
-            .where(F.col("date").between(F.lit(first_day), F.lit(C.LAST_VINTAGE - dt.timedelta(days=1))))
+    return (tables.daily_usage(spark, sf_dir).where(F.col("date").isNotNull())
             .groupBy("date", series_key(F.col("region"), F.col("segment")).alias("key"), carved.alias("carved"))
             .agg(F.sum("dollars").cast(TOTAL).alias("dollars")))
 
@@ -65,12 +105,11 @@ def model_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``naive7`` forecasts the carved-out part on its own, ``naive28`` within its parent.
     """
     days = _key_days(spark, sf_dir)
-    mondays = _weeks_between(F.next_day("date", "Mon"), F.date_add("date", 28))
+    vintages = _vintages_after(F.col("date"), last_vintage(spark, sf_dir), F.date_add("date", 28))
 
     def totals(key: Column) -> DataFrame:
         by_weekday = [F.sum(F.when(F.dayofweek("date") == k, F.col("dollars"))).cast(TOTAL) for k in range(1, 8)]
-        return (days.select("date", "dollars", key.alias("key"), F.explode(mondays).alias("vintage"))
-                .where(F.col("vintage").between(F.lit(C.FIRST_VINTAGE), F.lit(C.LAST_VINTAGE)))
+        return (days.select("date", "dollars", key.alias("key"), F.explode(vintages).alias("vintage"))
                 .groupBy("key", "vintage")
                 .agg(F.sum("dollars").cast(TOTAL).alias("total"), F.array(*by_weekday).alias("weekdays")))
 
@@ -109,8 +148,8 @@ def unit_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
                   for c in ("y", "y_lower", "y_upper")]
         return F.struct(F.lit(hour).alias("hour"), F.lit(active).alias("is_active"), *values)
 
-    runs = (F.when(F.col("vintage") == F.lit(C.TWO_RUN_VINTAGE), F.array(run(6, 100, True), run(12, 102, True)))
-            .when(F.col("vintage") == F.lit(C.INACTIVE_RUN_VINTAGE), F.array(run(6, 100, True), run(12, 200, False)))
+    runs = (F.when(F.col("vintage") == F.lit(vintage_before(spark, sf_dir, C.TWO_RUNS_BACK)), F.array(run(6, 100, True), run(12, 102, True)))
+            .when(F.col("vintage") == F.lit(vintage_before(spark, sf_dir, C.SWITCHED_OFF_BACK)), F.array(run(6, 100, True), run(12, 200, False)))
             .otherwise(F.array(run(6, 100, True))))
     return base.select("ts_key", "date", "vintage", F.explode(runs).alias("r")).select(
         "ts_key", "date", "vintage", "r.y", "r.y_lower", "r.y_upper",
@@ -150,11 +189,10 @@ def unit_forecast_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     month = fiscal.month_date("year", "month")
     vintages = F.sequence(F.add_months("month_start", 1), F.add_months("month_start", 3), F.expr("interval 1 month"))
     sums = (monthly_usage(spark, sf_dir)
-            .where(month.between(F.add_months(F.lit(C.FIRST_MONTHLY_VINTAGE), -3), F.lit(C.LAST_MONTHLY_VINTAGE)))
             .groupBy(month.alias("month_start"), series_key(F.col("region"), F.col("segment")).alias("key"))
             .agg(F.sum("dollars").cast(TOTAL).alias("dollars"))
             .select("key", "dollars", F.explode(vintages).alias("vintage"))
-            .where(F.col("vintage").between(F.lit(C.FIRST_MONTHLY_VINTAGE), F.lit(C.LAST_MONTHLY_VINTAGE)))
+            .where(F.col("vintage") <= F.lit(report_day(spark, sf_dir)))
             .groupBy("key", "vintage").agg(F.sum("dollars").cast(TOTAL).alias("total")))
     target = F.sequence(F.col("vintage"), F.add_months("vintage", C.MONTHLY_HORIZON - 1), F.expr("interval 1 month"))
     y = scaled(F.col("total"), 1, 3)
@@ -169,9 +207,8 @@ def unit_forecast_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @shared
 def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Manual plan per platform and per unit: usage of the quarter's months plus five percent."""
-    usage = tables.daily_usage(spark, sf_dir).where(
-        F.col("date").between(F.lit(C.FIRST_PLAN_QUARTER), fiscal.quarter_end(F.lit(C.LAST_PLAN_QUARTER))))
+    """Manual plan per platform and per unit: usage of the months of whole quarters plus five percent."""
+    usage = tables.daily_usage(spark, sf_dir).where(F.col("date") <= F.lit(newest_quarter(spark, sf_dir)[1]))
     monthly = (usage.groupBy(fiscal.month_start("date").alias("month_start"), "platform", "unit")
                .agg(F.sum("dollars").cast(TOTAL).alias("dollars")))
 
@@ -192,22 +229,28 @@ def usage_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept versions of the usage table: what was known on each vintage day.
 
     A snapshot holds its own and the previous fiscal quarter; the last three days before it
-    are not complete yet.
+    are not complete yet. Usage is summed per day and labels first, both as it is in the end and as it looks while
+    incomplete; only these sums are unfolded to snapshots.
     """
+    usage = tables.daily_usage(spark, sf_dir)
+    labels = ("date", "platform", "region", "segment", "unit", "sub_unit", "kind")
+    days = usage.where(F.col("date").isNotNull()).groupBy(*labels).agg(
+        F.sum("dollars").cast(TOTAL).alias("whole"), F.sum(scaled(F.col("dollars"), 97, 100)).cast(TOTAL).alias("part"))
     reach = fiscal.quarter_end(F.date_add(fiscal.quarter_end("date"), 1))
-    mondays = _weeks_between(F.next_day("date", "Mon"), F.least(reach, F.lit(C.LAST_VINTAGE)))
-    first_day = fiscal.quarter_start(F.add_months(F.lit(C.FIRST_VINTAGE), -3))
-    return (tables.daily_usage(spark, sf_dir)
-            .where((F.col("date") >= first_day) & (F.next_day("date", "Mon") <= F.lit(C.LAST_VINTAGE)))
-            .withColumn("snapshot_date", F.explode(mondays))
-            .where(F.col("snapshot_date") >= F.lit(C.FIRST_VINTAGE))
-            .withColumn("dollars", F.when(F.col("date") >= F.date_sub("snapshot_date", 3),
-                                          scaled(F.col("dollars"), 97, 100)).otherwise(F.col("dollars"))))
+    kept = _vintages_after(F.col("date"), last_vintage(spark, sf_dir), reach)
+    return days.select("*", F.explode(kept).alias("snapshot_date")).select(
+        *labels, "snapshot_date", F.when(F.col("date") >= F.date_sub("snapshot_date", 3), F.col("part")).otherwise(F.col("whole")).alias("dollars"))
 
 
 # --- weekly account panel ----------------------------------------------------------------
 
 
+def newest_week(spark: SparkSession, sf_dir: str) -> Column:
+    """Monday of the newest loaded day."""
+    last = data_days(spark, sf_dir)[1]
+    return F.lit(last - dt.timedelta(days=last.weekday()))
+
+
 def _week_number(day: Column) -> Column:
     return F.call_function("div", F.datediff(day, F.lit(C.EPOCH_MONDAY)), F.lit(7)).cast("int")
 
@@ -230,16 +273,12 @@ def account_week(spark: SparkSession, sf_dir: str) -> DataFrame:
         part(kind == "A", "usage_a"), part(kind == "N", "usage_n"), part(kind == "R", "usage_r"),
         part(priority == "1-URGENT", "usage_urgent"),
         *[F.count_if(kind == k).alias(f"rows_{k}") for k in ("A", "N", "R")])
-    newest = tables.read(spark, sf_dir, "lineitem").select(
-        fiscal.monday_of(F.max(F.to_date("l_shipdate")))).scalar()
+    newest = newest_week(spark, sf_dir)
     a, n, r = F.sum("rows_A"), F.sum("rows_N"), F.sum("rows_R")
     spans = weekly.groupBy("account_id").agg(
         F.min("week_start").alias("first_week"), F.max("week_start").alias("last_week"),
         F.when((a >= n) & (a >= r), "A").when(n >= r, "N").otherwise("R").alias("main_kind"))
-    # four weeks more than kept, so that lags and the idle flag see what came before
-    keep_from = F.date_sub(newest, 7 * (C.PANEL_WEEKS - 1))
-    spine = spans.withColumn("week_start", F.explode(_weeks_between(
-        F.greatest("first_week", F.date_sub(keep_from, 7 * 12)), newest)))
+    spine = spans.withColumn("week_start", F.explode(_weeks_between(F.col("first_week"), newest)))
     orders = tables.read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").cast("string").alias("account_id")).agg(
         F.count("*").alias("orders_total"),
         mean_of(F.sum(F.col("o_totalprice").cast(AMOUNT)), F.count("*")).cast("double").alias("mean_order_price"))
@@ -256,8 +295,7 @@ def account_week(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*", (F.max(F.abs("amount")).over(last_12) == 0).alias("idle"),
         *[F.lag("amount", k).over(ordered).cast("double").alias(f"lag_{k}") for k in range(1, 5)])
     balance = F.col("account_balance")
-    return (windowed.where(F.col("week_start") >= keep_from)
-            .join(orders, "account_id").join(traits, "account_id")
+    return (windowed.join(orders, "account_id").join(traits, "account_id")
             .select(
                 "account_id", "week_start",
                 _week_number(F.col("week_start")).alias("week"),
@@ -276,13 +314,12 @@ def account_week(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @shared
-def account_predictions(spark: SparkSession, sf_dir: str, weeks: int = C.ACCOUNT_FIXTURE_WEEKS) -> DataFrame:
+def account_predictions(spark: SparkSession, sf_dir: str, weeks: int = C.ACCOUNT_WEEK_HORIZON) -> DataFrame:
     """Predicted change per account, step and train date: mean of four weeks minus the last one."""
     panel = account_week(spark, sf_dir)
     ordered = Window.partitionBy("account_id").orderBy("week_start").rowsBetween(-3, 0)
     amount = F.col("dollars").cast(TOTAL)
-    newest = tables.read(spark, sf_dir, "lineitem").select(
-        fiscal.monday_of(F.max(F.to_date("l_shipdate")))).scalar()
+    newest = newest_week(spark, sf_dir)
     recent = panel.select("account_id", "week_start", "dollars", "real", "idle_12_weeks",
                           F.sum(amount).over(ordered).cast(TOTAL).alias("four_weeks"))
     return (recent.where(F.col("week_start") > F.date_sub(newest, 7 * C.ACCOUNT_VINTAGES))
@@ -300,10 +337,9 @@ def account_predictions(spark: SparkSession, sf_dir: str, weeks: int = C.ACCOUNT
 def account_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Naive monthly forecast of eligible accounts: mean row of the history, for each future month."""
     monthly = monthly_usage(spark, sf_dir)
-    eligible = account_monthly_eligible(monthly, C.RECENT_MONTH)
+    eligible = account_monthly_eligible(monthly, recent_month(spark, sf_dir))
     sums = monthly.groupBy("account_id").agg(F.sum("dollars").cast(TOTAL).alias("total"), F.count("*").alias("rows"))
-    newest = tables.read(spark, sf_dir, "lineitem").select(
-        fiscal.monday_of(F.max(F.to_date("l_shipdate")))).scalar()
+    newest = newest_week(spark, sf_dir)
     months = F.sequence(fiscal.month_start("future_start"), F.col("future_end"), F.expr("interval 1 month"))
     return eligible.join(sums, "account_id").select(
         "account_id", F.explode(months).alias("month"), scaled(F.col("total"), 1, F.col("rows")).alias("forecast"),
@@ -311,10 +347,10 @@ def account_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @shared
-def account_day_forecast(spark: SparkSession, sf_dir: str, weeks: int = C.OUTLOOK_WEEKS) -> DataFrame:
+def account_day_forecast(spark: SparkSession, sf_dir: str, weeks: int = C.ACCOUNT_WEEK_HORIZON) -> DataFrame:
     """Daily forecasts of all accounts and runs."""
     weekly = forecast_schedule(account_predictions(spark, sf_dir, weeks))
-    shares = weekday_share(tables.daily_usage(spark, sf_dir), C.ACCOUNT_AS_OF)
+    shares = weekday_share(tables.daily_usage(spark, sf_dir), as_of(spark, sf_dir))
     return week_to_day(weekly, shares).select(
         "account_id", "date", F.col("train_date").alias("run_date"),
         F.round("forecast", 6).cast(WIDE).alias("forecast"))

@@ -67,6 +67,17 @@ def renamed(region: str) -> str:
 AS_OF = "(SELECT CAST(max(CAST(l_shipdate AS DATE)) + 1 AS DATE) FROM lineitem)"
 
 
+#: End of the newest whole fiscal quarter, its last Monday (the newest vintage), and the clock of the published tables.
+QUARTER_END = f"CAST({quarter_start(AS_OF)} - 1 AS DATE)"
+LAST_VINTAGE = f"CAST(date_trunc('week', {QUARTER_END}) AS DATE)"
+REPORT_DAY = f"CAST({QUARTER_END} - {C.REPORT_DAYS_BEFORE_END} AS DATE)"
+RECENT_MONTH = f"CAST(date_trunc('month', {AS_OF} - to_months({C.RECENT_MONTHS})) AS DATE)"
+
+
+def _back(steps: int) -> str:
+    return f"CAST({LAST_VINTAGE} - {steps * C.VINTAGE_STEP} AS DATE)"
+
+
 def _d(day) -> str:
     return f"DATE '{day}'"
 
@@ -104,11 +115,10 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN accounts ON o_custkey
                       "SELECT *, 'public' AS source FROM monthly_public", ("monthly_private", "monthly_public")),
     "key_days": (f"""
 SELECT date, {key('region', 'segment')} AS key, {_CARVED} AS carved, CAST(sum(dollars) AS DECIMAL(18,4)) AS dollars
-FROM daily_usage WHERE date >= {_d(C.FIRST_VINTAGE)} - 28 AND date < {_d(C.LAST_VINTAGE)}
-GROUP BY ALL""", ("daily_usage",)),
+FROM daily_usage GROUP BY ALL""", ("daily_usage",)),
     "vintages": (f"""
-SELECT CAST(v AS DATE) AS vintage
-FROM generate_series({_d(C.FIRST_VINTAGE)}, {_d(C.LAST_VINTAGE)}, INTERVAL 7 DAY) g(v)""", ()),
+SELECT CAST(l - CAST(k * {C.VINTAGE_STEP} AS INTEGER) AS DATE) AS vintage
+FROM (SELECT {LAST_VINTAGE} AS l, (SELECT min(CAST(l_shipdate AS DATE)) FROM lineitem) AS f), generate_series(0, (l - f - 1) // {C.VINTAGE_STEP}) g(k)""", ()),
     "model_forecast": (f"""
 WITH members AS (
   SELECT date, CASE WHEN carved THEN '{C.CARVE_OUT_KEY}' ELSE key END AS key, 'naive7' AS model, dollars FROM key_days
@@ -143,11 +153,11 @@ FROM per_model GROUP BY ts_key, date, vintage""", ("model_forecast",)),
 SELECT *, CAST(vintage AS TIMESTAMP) + INTERVAL 6 HOUR AS score_run_at, TRUE AS is_active FROM ensemble
 UNION ALL
 SELECT ts_key, date, vintage, {scaled('y', 102, 100)}, {scaled('y_lower', 102, 100)}, {scaled('y_upper', 102, 100)},
-       CAST(vintage AS TIMESTAMP) + INTERVAL 12 HOUR, TRUE FROM ensemble WHERE vintage = {_d(C.TWO_RUN_VINTAGE)}
+       CAST(vintage AS TIMESTAMP) + INTERVAL 12 HOUR, TRUE FROM ensemble WHERE vintage = {_back(C.TWO_RUNS_BACK)}
 UNION ALL
 SELECT ts_key, date, vintage, {scaled('y', 200, 100)}, {scaled('y_lower', 200, 100)}, {scaled('y_upper', 200, 100)},
        CAST(vintage AS TIMESTAMP) + INTERVAL 12 HOUR, FALSE FROM ensemble
-WHERE vintage = {_d(C.INACTIVE_RUN_VINTAGE)}""", ("ensemble",)),
+WHERE vintage = {_back(C.SWITCHED_OFF_BACK)}""", ("ensemble",)),
     "raw_model_output": (f"""
 WITH days AS (SELECT date, key, CAST(sum(dollars) AS DECIMAL(18,4)) AS y FROM key_days GROUP BY ALL),
 named AS (SELECT *, regexp_replace(key, '({'|'.join(C.SEGMENTS)}|ALL)$', '') AS region FROM days)
@@ -160,8 +170,8 @@ FROM named""", ("key_days",)),
 WITH months AS (
   SELECT make_date(year, month, 1) AS month_start, {key('region', 'segment')} AS key, sum(dollars) AS dollars
   FROM monthly_usage GROUP BY ALL),
-v AS (SELECT CAST(v AS DATE) AS vintage FROM generate_series({_d(C.FIRST_MONTHLY_VINTAGE)},
-      {_d(C.LAST_MONTHLY_VINTAGE)}, INTERVAL 1 MONTH) g(v)),
+v AS (SELECT CAST(a + to_months(CAST(k AS INTEGER)) AS DATE) AS vintage
+  FROM (SELECT min(month_start) AS a, date_diff('month', min(month_start), {REPORT_DAY}) AS n FROM months), generate_series(1, n) g(k)),
 sums AS (
   SELECT key, vintage, sum(dollars) AS total FROM months JOIN v
   ON month_start >= vintage - INTERVAL 3 MONTH AND month_start < vintage GROUP BY key, vintage),
@@ -173,7 +183,7 @@ FROM paths""", ("monthly_usage",)),
     "plan": (f"""
 WITH months AS (
   SELECT {month_start('date')} AS m, platform, unit, sum(dollars) AS dollars FROM daily_usage
-  WHERE date >= {_d(C.FIRST_PLAN_QUARTER)} AND date <= {quarter_end(_d(C.LAST_PLAN_QUARTER))}
+  WHERE date <= {QUARTER_END}
   GROUP BY ALL),
 kinds AS (SELECT m, 'Platform' AS plan_kind, platform, sum(dollars) AS dollars FROM months GROUP BY ALL
          UNION ALL SELECT m, 'Business Unit', unit, sum(dollars) FROM months GROUP BY ALL)
@@ -225,8 +235,7 @@ SELECT w.account_id, week_start,
        CASE WHEN amount = 0 THEN CAST('infinity' AS DOUBLE)
             ELSE round(account_balance / CAST(amount AS DOUBLE), 6) END AS balance_per_dollar,
        {', '.join(f"CAST(lag_{k} AS DOUBLE) AS lag_{k}" for k in range(1, 5))}
-FROM windowed w, newest JOIN o ON o.account_id = w.account_id JOIN accounts t ON t.account_id = w.account_id
-WHERE week_start >= newest.w - {7 * (C.PANEL_WEEKS - 1)}""", ("daily_usage", "accounts")),
+FROM windowed w JOIN o ON o.account_id = w.account_id JOIN accounts t ON t.account_id = w.account_id""", ("daily_usage", "accounts")),
 }
 
 
@@ -243,8 +252,7 @@ FROM recent, generate_series(1, {weeks}) g(n)
 WHERE week_start > (SELECT max(week_start) FROM account_week) - {7 * C.ACCOUNT_VINTAGES}"""
 
 
-VIEWS["account_predictions"] = (predictions(C.ACCOUNT_FIXTURE_WEEKS), ("account_week",))
-VIEWS["account_predictions_long"] = (predictions(C.OUTLOOK_WEEKS), ("account_week",))
+VIEWS["account_predictions"] = (predictions(C.ACCOUNT_WEEK_HORIZON), ("account_week",))
 
 
 def compose(text: str, *views: str) -> str:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .. import config as C
-from .oracle_inputs import (VIEWS, fiscal_code, key_region, key_segment, mean, month_start, renamed)
+from .oracle_inputs import (REPORT_DAY as AS_OF, VIEWS, fiscal_code, key_region, key_segment, mean, month_start, renamed)
 
 FOLDED = ", ".join(f"'{r}'" for r in C.FOLDED_RENAMED)
 COLUMNS = "series, detail, display, vintage, platform, region, segment, sku, date, quantity, dollars"
@@ -11,7 +11,6 @@ COLUMNS = "series, detail, display, vintage, platform, region, segment, sku, dat
 SIX_DIGITS = COLUMNS.replace("dollars", "CAST(dollars AS DECIMAL(28,6)) AS dollars")
 NO_QUANTITY = "CAST(NULL AS DOUBLE) AS quantity"
 NO_DATE = "CAST(NULL AS DATE)"
-AS_OF = f"DATE '{C.AS_OF}'"
 
 _USAGE_LABELS = (f"lower(platform) AS platform, {renamed('region')} AS region, segment, "
                  "lower(kind) || '_usage' AS sku")

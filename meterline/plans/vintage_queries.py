@@ -13,12 +13,12 @@ from ..operators import vintages as V
 from ..sources import tables as T
 from ..sources.shared import shared, stored
 from . import inputs as I
-from .oracle_inputs import compose, fiscal_code, key, key_region, key_segment, month_start, quarter_end, quarter_start
+from .oracle_inputs import LAST_VINTAGE, compose, fiscal_code, key, key_region, key_segment, month_start, quarter_end, quarter_start
 from .oracle_silver import AS_OF, select_view
 from .registry import query
 
-RERUN_FROM = dt.date(2000, 12, 1)
-FROZEN_BEFORE = dt.date(2000, 11, 1)
+#: Days before the newest vintage from which on vintages are published anew, and before which they are frozen already.
+RERUN_DAYS, FROZEN_DAYS = 60, 90
 _VALUES = "CAST(y AS DOUBLE) AS y, CAST(y_lower AS DOUBLE) AS y_lower, CAST(y_upper AS DOUBLE) AS y_upper"
 
 
@@ -70,12 +70,12 @@ WITH fresh AS (
  SELECT ts_key, date, vintage, y, y_lower, y_upper, CAST(vintage AS TIMESTAMP) + INTERVAL 15 HOUR AS score_run_at, TRUE AS is_active
  FROM (SELECT CASE WHEN ts_key = '{C.CARVE_OUT_KEY}{C.KEY_SUFFIX}' THEN '{C.CARVE_OUT_PARENT}{C.KEY_SUFFIX}' ELSE ts_key END AS ts_key,
    date, vintage, sum(y) AS y, sum(y_lower) AS y_lower, sum(y_upper) AS y_upper
-  FROM model_forecast WHERE model = 'naive7' AND vintage >= DATE '{RERUN_FROM}' GROUP BY 1, 2, 3))
+  FROM model_forecast WHERE model = 'naive7' AND vintage >= {LAST_VINTAGE} - {RERUN_DAYS} GROUP BY 1, 2, 3))
 SELECT ts_key, date, vintage, {_VALUES}, score_run_at, is_active FROM unit_forecast
 WHERE vintage NOT IN (SELECT vintage FROM fresh)
 UNION ALL SELECT ts_key, date, vintage, {_VALUES}, score_run_at, is_active FROM fresh""", "model_forecast", "unit_forecast"))
 def replace_vintage(spark, sf):
-    rerun = I.model_forecast(spark, sf).where((F.col("model") == "naive7") & (F.col("vintage") >= F.lit(RERUN_FROM)))
+    rerun = I.model_forecast(spark, sf).where((F.col("model") == "naive7") & (F.col("vintage") >= F.lit(I.last_vintage(spark, sf) - dt.timedelta(days=RERUN_DAYS))))
     fresh = P.ensemble_average(rerun).select(
         "*", (F.col("vintage").cast("timestamp") + F.expr("interval 15 hours")).alias("score_run_at"), F.lit(True).alias("is_active"))
     return P.replace_vintage(I.unit_forecast(spark, sf), fresh)
@@ -180,10 +180,10 @@ def current_fiscal_period(spark, sf):
 
 
 @query("new_vintages", compose(f"""
-SELECT vintage, score_run_at, {fiscal_code('vintage')} AS fiscal_code FROM runs WHERE vintage >= DATE '{FROZEN_BEFORE}'""", "runs"))
+SELECT vintage, score_run_at, {fiscal_code('vintage')} AS fiscal_code FROM runs WHERE vintage >= {LAST_VINTAGE} - {FROZEN_DAYS}""", "runs"))
 def new_vintages(spark, sf):
     forecast = published(spark, sf)
-    done = forecast.where(F.col("vintage") < F.lit(FROZEN_BEFORE)).withColumnRenamed("score_run_at", "pulled_at")
+    done = forecast.where(F.col("vintage") < F.lit(I.last_vintage(spark, sf) - dt.timedelta(days=FROZEN_DAYS))).withColumnRenamed("score_run_at", "pulled_at")
     return V.new_vintages(forecast, done)
 
 
@@ -298,25 +298,25 @@ def accuracy_by_platform(spark, sf):
 @query("accuracy_by_unit", compose(_ACCURACY_DOUBLES.format("accuracy_unit"), "accuracy_unit"))
 def accuracy_by_unit(spark, sf):
     return G.accuracy_by_unit(combined(spark, sf), plan_by_unit(spark, sf), plan_first_vintage(spark, sf),
-                              daily_forecast(spark, sf), I.unit_forecast_monthly(spark, sf), C.AS_OF)
+                              daily_forecast(spark, sf), I.unit_forecast_monthly(spark, sf), I.report_day(spark, sf))
 
 
 @query("quarter_to_date_accuracy", compose(_ACCURACY_DOUBLES.format("accuracy"), "accuracy"))
 def quarter_to_date_accuracy(spark, sf):
-    return G.quarter_to_date_accuracy(accuracy_by_platform(spark, sf), accuracy_by_unit(spark, sf), C.AS_OF)
+    return G.quarter_to_date_accuracy(accuracy_by_platform(spark, sf), accuracy_by_unit(spark, sf), I.report_day(spark, sf))
 
 
 @query("monthly_first_vintage_in_quarter", compose(
     f"SELECT ts_key, date, vintage, {_VALUES} FROM monthly_first", "monthly_first"))
 def monthly_first_vintage_in_quarter(spark, sf):
-    return G.monthly_first_vintage_in_quarter(I.unit_forecast_monthly(spark, sf), C.AS_OF)
+    return G.monthly_first_vintage_in_quarter(I.unit_forecast_monthly(spark, sf), I.report_day(spark, sf))
 
 
 @query("total_quarter_by_vintage", compose(select_view("quarter_totals"), "quarter_totals"))
 def total_quarter_by_vintage(spark, sf):
     monthly = actuals_private(spark, sf).unionByName(actuals_public(spark, sf))
     return G.total_quarter_by_vintage(frozen_actuals(spark, sf), monthly, daily_forecast(spark, sf),
-                                      I.unit_forecast_monthly(spark, sf), C.AS_OF)
+                                      I.unit_forecast_monthly(spark, sf), I.report_day(spark, sf))
 
 
 _OVERLAP = "SELECT string_agg(strftime(date, '%B %Y'), ', ' ORDER BY date) AS overlap_months FROM (SELECT DISTINCT date FROM accuracy)"
@@ -343,4 +343,4 @@ SELECT CAST({AS_OF} AS TIMESTAMP) AS refreshed_at,
     "forecast_daily", "unit_forecast_monthly", "plan", "accuracy"))
 def dashboard_metadata(spark, sf):
     return G.dashboard_metadata(daily_forecast(spark, sf), I.unit_forecast_monthly(spark, sf), I.plan(spark, sf),
-                                quarter_to_date_accuracy(spark, sf), C.AS_OF)
+                                quarter_to_date_accuracy(spark, sf), I.report_day(spark, sf))
