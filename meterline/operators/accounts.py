@@ -51,16 +51,19 @@ def usage_age_features(panel: DataFrame) -> DataFrame:
                         (F.col("week") - F.col("start_week")).alias("weeks_since_first_use"))
 
 
-def direct_horizon_training(panel: DataFrame, steps: int) -> DataFrame:
-    """Pair every week with the weeks 1 to ``steps`` later of the same account.
+def horizon_values(panel: DataFrame, steps: int) -> DataFrame:
+    """Add ``later``: the values of the same account 1 to ``steps`` weeks after each week; null where it has no such week.
 
     Instead of a self join per step, one window over the account reads all later values: a
-    range frame of exactly h weeks, so gaps in an account's weeks give no pair. The newest
-    week has nothing after it and drops out. One shuffle, whatever the number of steps.
+    range frame of exactly h weeks. One shuffle, whatever the number of steps, and a row stays a row.
     """
     by_week = Window.partitionBy("account_id").orderBy("week")
-    later = F.array(*[F.max("dollars").over(by_week.rangeBetween(h, h)) for h in range(1, steps + 1)])
-    return (panel.withColumn("later", later)
+    return panel.withColumn("later", F.array(*[F.max("dollars").over(by_week.rangeBetween(h, h)) for h in range(1, steps + 1)]))
+
+
+def direct_horizon_training(panel: DataFrame, steps: int) -> DataFrame:
+    """Pair every week with the weeks 1 to ``steps`` later of the same account; gaps give no pair and the newest week drops out."""
+    return (horizon_values(panel, steps)
             .select("*", F.posexplode("later").alias("step", "then")).where(F.col("then").isNotNull())
             .select(*panel.columns, (F.col("step") + 1).alias("week_ahead"), (F.col("then") - F.col("dollars")).alias("target")))
 
@@ -69,7 +72,7 @@ def forecast_schedule(predictions: DataFrame) -> DataFrame:
     """Predicted change plus last value, not below zero, dated by its step."""
     value = F.col("prediction") + F.col("dollars")
     return predictions.select(
-        "account_id", F.greatest(value, F.lit(0).cast("decimal(18,4)")).alias("forecast"),
+        "account_id", F.greatest(value, F.lit(0).cast(predictions.schema["prediction"].dataType)).alias("forecast"),
         F.date_add(F.date_sub("train_date", 7), F.col("week_ahead") * 7).alias("week"), "train_date")
 
 

@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from .. import config as C
 from ..operators import accounts as A
 from ..operators import explain as X
 from ..operators import trees as R
 from ..sources.shared import shared, stored
+from . import account_queries as AQ
 from . import explain_queries as E
 from . import inputs as I
+from .oracle_inputs import compose
 from .registry import query
 
-STEPS = 2
-
 
 @shared
 def _panel(spark, sf):
@@ -23,9 +24,14 @@ def _panel(spark, sf):
     return A.usage_age_features(A.panel_clean(A.account_population(panel, A.inactive_accounts(panel))))
 
 
-def _real_training(spark, sf, steps):
-    panel = _panel(spark, sf).where(F.col("population") == "real")
-    return panel, A.direct_horizon_training(panel, steps)
+POPULATIONS = ("real", "small")
+
+
+def _population(spark, sf, name):
+    """Panel of a population, and its newest week with the day it is forecast from."""
+    panel = _panel(spark, sf).where(F.col("population") == name)
+    newest = panel.where(F.col("week_start") == I.newest_week(spark, sf)).withColumn("train_date", F.date_add("week_start", 7))
+    return panel, newest
 
 
 @query("feature_assembly")
@@ -36,22 +42,46 @@ def feature_assembly(spark, sf):
 
 @query("boosted_tree_search")
 def boosted_tree_search(spark, sf):
-    """Depth and tree count for the one-week step of the real accounts."""
-    _, training = _real_training(spark, sf, 1)
-    assembled, _, bins = R.feature_assembly(training)
-    scores = R.boosted_tree_search(assembled, bins)
-    best = min(score for _, _, score in scores)
-    rows = [(depth, trees, score, score == best) for depth, trees, score in scores]
-    return spark.createDataFrame(rows, "max_depth int, trees int, mean_rmse double, best boolean")
+    """Depth and tree count for the one-week step of both populations."""
+    rows = []
+    for name in POPULATIONS:
+        assembled, _, bins = R.feature_assembly(A.direct_horizon_training(_population(spark, sf, name)[0], 1))
+        scores = R.boosted_tree_search(assembled, bins)
+        best = min(score for _, _, score in scores)
+        rows += [(name, depth, trees, score, score == best) for depth, trees, score in scores]
+    return spark.createDataFrame(rows, "population string, max_depth int, trees int, mean_rmse double, best boolean")
+
+
+@shared
+def tree_forecasts(spark, sf):
+    """Boosted-tree forecasts of all steps ahead for both populations, as their jobs store them."""
+    parts = [R.direct_multi_horizon_forecast(*_population(spark, sf, name), C.ACCOUNT_WEEK_HORIZON).withColumn("population", F.lit(name))
+             for name in POPULATIONS]
+    return stored(parts[0].unionByName(parts[1]))
 
 
 @query("direct_multi_horizon_forecast")
 def direct_multi_horizon_forecast(spark, sf):
-    """Boosted-tree forecasts of the next weeks for the real accounts."""
-    panel, training = _real_training(spark, sf, STEPS)
-    newest = panel.where(F.col("week") == panel.select(F.max("week")).scalar()).withColumn(
-        "train_date", F.date_add("week_start", 7))
-    return R.direct_multi_horizon_forecast(training, newest, STEPS)
+    """Boosted-tree forecasts of the next 40 weeks for both populations."""
+    return tree_forecasts(spark, sf)
+
+
+@query("tree_forecast_checks", compose(f"""
+SELECT population, train_date, CAST(week_ahead AS INTEGER) AS week_ahead, accounts, TRUE AS all_finite FROM (
+ SELECT CASE WHEN {AQ._SMALL} THEN 'small' ELSE 'real' END AS population, week_start + 7 AS train_date, count(*) AS accounts
+ FROM account_week WHERE week = (SELECT max(week) FROM account_week) AND NOT ({AQ._SMALL} AND account_id IN (SELECT account_id FROM inactive))
+ GROUP BY ALL), generate_series(1, {C.ACCOUNT_WEEK_HORIZON}) g(week_ahead)""", "account_week", "inactive"))
+def tree_forecast_checks(spark, sf):
+    """What must hold of the forecasts: each account of the newest week once per step, with a finite prediction."""
+    p = F.col("prediction")
+    return tree_forecasts(spark, sf).groupBy("population", "train_date", "week_ahead").agg(
+        F.count_distinct("account_id").alias("accounts"), F.every(p.isNotNull() & ~F.isnan(p) & (F.abs(p) < float("inf"))).alias("all_finite"))
+
+
+@query("account_tree_schedule")
+def account_tree_schedule(spark, sf):
+    """The schedule of both populations from the trees: weekly forecasts, not below zero."""
+    return A.forecast_schedule(tree_forecasts(spark, sf))
 
 
 @query("fit_and_attribute")
@@ -60,3 +90,16 @@ def fit_and_attribute(spark, sf):
     features = E.features(spark, sf)
     pending = [row["train_date"] for row in E.pending_vintages(spark, sf).collect()]  # at most one per week
     return R.fit_and_attribute(features, X.vintage_quarter_labels(features), pending)
+
+
+@query("attribution_checks", compose(f"""
+SELECT train_date, {E._POPULATION} AS population, quarter_explained, count(*) AS accounts, CAST({len(C.FEATURES)} AS BIGINT) AS features, TRUE AS adds_up
+FROM (SELECT *, unnest([{E._LABEL}, {E._NEXT_LABEL}]) AS quarter_explained FROM explained WHERE train_date = (SELECT max(train_date) FROM explained))
+GROUP BY ALL""", "explained"))
+def attribution_checks(spark, sf):
+    """Contributions and base value of every explained row add up to its prediction."""
+    rows = fit_and_attribute(spark, sf).groupBy("account_id", "train_date", "population", "quarter_explained", "prediction", "base_value").agg(
+        F.sum("contribution").alias("s"), F.count("*").alias("features"))
+    gap = F.abs(F.col("s") + F.col("base_value") - F.col("prediction")) <= 1e-6 * F.greatest(F.lit(1.0), F.abs("prediction"))
+    return rows.groupBy("train_date", "population", "quarter_explained").agg(
+        F.count("*").alias("accounts"), F.max("features").alias("features"), F.every(gap & (F.col("features") == len(C.FEATURES))).alias("adds_up"))

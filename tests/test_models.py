@@ -11,12 +11,14 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from meterline import config as C
+from meterline.operators import accounts as A
 from meterline.operators import attribution as B
 from meterline.operators import forecasting as M
 from meterline.functions import breaks as K_breaks
 from meterline.operators import series as S
 from meterline.operators import series_models as K
 from meterline.operators import trees as R
+from meterline.sources.shared import stored
 
 import __spark_entry__ as entry
 
@@ -271,10 +273,37 @@ def test_explained_slices_add_up(spark, sf_dir):
     assert all(r["s"] + r["b"] == pytest.approx(r["p"], rel=1e-6, abs=1e-6) for r in sums)
 
 
-def test_one_prediction_per_account_and_step(spark, sf_dir):
+def test_steps_are_scored_in_one_pass_and_models_reload(spark, tmp_path):
+    """Scores from the node table equal those of the models, before and after they are kept and loaded again."""
+    rows = spark.range(3000).select(
+        (F.col("id") % 60).cast("string").alias("account_id"), F.floor(F.col("id") / 60).cast("int").alias("week"), F.rand(3).alias("balance"),
+        *[F.lit("x").alias(c) for c in C.CATEGORICAL_FEATURES]).withColumn("dollars", F.round(F.col("balance") * 50 + F.col("week"), 2))
+    panel = stored(rows)
+    newest = panel.where("week = 49").withColumn("train_date", F.lit(dt.date(2020, 1, 6)))
+    models = R.fit_horizons(panel, 3, depth=3, trees=4)
+    models.save(str(tmp_path / "store"))
+    first = {(r["account_id"], r["week_ahead"]): r["prediction"] for r in models.score(newest).collect()}
+    again = {(r["account_id"], r["week_ahead"]): r["prediction"] for r in R.HorizonModels.load(spark, str(tmp_path / "store")).score(newest).collect()}
+    assert first == again and len(first) == 60 * 3 and len(set(first.values())) > 10
+    plan = models.score(newest)._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan
+    # against the library's own predictions, step by step
+    assembled, _, bins = R.feature_assembly(A.horizon_values(panel, 3))
+    for step in (1, 3):
+        fit = R._regressor(3, 4, bins).fit(assembled.withColumn("target", F.element_at("later", step) - F.col("dollars")).where("target is not null"))
+        inputs = models.pipeline.transform(R.impute(newest, R.numeric_features(newest)))
+        own = B.node_table(spark, fit, "1")
+        got = R.HorizonModels(models.pipeline, own, 3).score(newest).select("account_id", "prediction")
+        want = fit.transform(inputs).select("account_id", F.col("prediction").alias("p"))
+        assert all(r["prediction"] == pytest.approx(r["p"]) for r in got.join(want, "account_id").collect())
+
+
+def test_one_prediction_per_account_and_step(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(C, "ACCOUNT_WEEK_HORIZON", 2)
     rows = QUERIES["direct_multi_horizon_forecast"](spark, sf_dir).collect()
     keys = {(r["account_id"], r["week_ahead"]) for r in rows}
-    assert rows and len(keys) == len(rows) and {k[1] for k in keys} == {1, 2}
+    assert rows and len(keys) == len(rows) and {k[1] for k in keys} == {1, 2} and {r["population"] for r in rows} == {"real", "small"}
+    assert all(r["forecast"] >= 0 for r in QUERIES["account_tree_schedule"](spark, sf_dir).collect())
 
 
 def test_feature_vectors_have_no_missing_numbers(spark, sf_dir):
