@@ -84,15 +84,13 @@ def loss_text(formatted: Column, start: Column, end: Column) -> Column:
 
 def digests(examples: DataFrame) -> DataFrame:
     """One row per conversation, read back from its examples: the last one holds all turns."""
-    parts = examples.select("conv_id", F.struct(
-        "example", "formatted", loss_text(F.col("formatted"), F.col("loss_start"), F.col("loss_end")).alias("loss")).alias("e"))
-    talks = parts.groupBy("conv_id").agg(F.sort_array(F.collect_list("e")).alias("e"))
-    read = talks.select(
-        "conv_id",
-        read_turns(F.element_at("e", -1)["formatted"]).alias("turns"),
-        F.array_join(F.transform("e", lambda x: x["loss"]), "").alias("loss"),
-        F.aggregate("e", F.lit(0).cast("long"), lambda n, x: n + F.length(x["formatted"])).alias("formatted_chars"),
-    )
+    parts = examples.select(
+        "conv_id", "example", "formatted", F.length("formatted").alias("n"), loss_text(F.col("formatted"), F.col("loss_start"), F.col("loss_end")).alias("loss"))
+    # of all formatted texts only the last one is kept while they are grouped, so a row is no longer than a conversation
+    talks = parts.groupBy("conv_id").agg(
+        F.max_by("formatted", "example").alias("last"), F.sum("n").cast("long").alias("formatted_chars"),
+        F.sort_array(F.collect_list(F.struct("example", "loss"))).alias("e"))
+    read = talks.select("conv_id", read_turns(F.col("last")).alias("turns"), F.array_join(F.transform("e", lambda x: x["loss"]), "").alias("loss"), "formatted_chars")
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
         "conv_id",

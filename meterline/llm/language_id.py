@@ -43,15 +43,21 @@ class Identifier:
 
 
 def training_rows(docs: DataFrame, allowed) -> pd.DataFrame:
-    """lang and text of the sample: per language those whose hash falls under a share of about ``SAMPLE`` rows."""
-    rows = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= MAX_CHARS))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
+    """lang and text of the sample: about ``SAMPLE`` different rows per language, by a hash of id and text.
+
+    A row is taken where its 64-bit hash falls under the language's share, and where it is the
+    smallest of its language, so every language is learned whatever its size. Of a text the
+    first ``MAX_CHARS`` characters are learned from.
+    """
+    rows = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    place = F.xxhash64("doc_id", "text")
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(place).alias("low")).collect()  # a row per language
+    if not sizes:
         return pd.DataFrame({"lang": [], "text": []})
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    share = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(min(1.0, SAMPLE / n) * 1_000_000))]), F.col("lang"))
-    chosen = rows.where(place < share).select("doc_id", "lang", "text").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    return chosen.limit(2 * SAMPLE * len(counts)).drop("doc_id").toPandas()
+    edge = {r["lang"]: max(r["low"], min(2**63 - 1, -(2**63) + int(2**64 * min(1.0, SAMPLE / r["n"])))) for r in sizes}
+    share = F.element_at(F.create_map(*[F.lit(x) for k, e in edge.items() for x in (k, F.lit(e).cast("long"))]), F.col("lang"))
+    chosen = rows.where(place <= share).select("lang", F.left("text", F.lit(MAX_CHARS)).alias("text"), place.alias("place")).distinct()
+    return chosen.orderBy("place", "lang", "text").drop("place").toPandas()
 
 
 def fit(docs: DataFrame, folds: int = 5, held_out: int = 0) -> Identifier:

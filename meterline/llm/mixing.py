@@ -17,7 +17,8 @@ number per domain and step.
 
 Null and empty texts have no tokens: their posterior is the prior and their rate cannot change a total (it follows the
 same fold). Without labelled rows all domains are equally likely. A repeated id in the labels counts with its last domain; repeated
-rows each get a rate; null ids are kept. An empty table gives no rows. New columns replace columns of the same name.
+rows each get a rate; null ids are kept. An empty table gives no rows. New columns (n_tokens, rate, p_<domain>) replace columns
+of the same name; all other columns are kept.
 """
 
 from __future__ import annotations
@@ -188,8 +189,12 @@ def mix(docs: DataFrame, known: DataFrame, targets: dict[str, float], keep: list
     """Columns ``keep``, n_tokens, p_<domain> of each domain, and rate. ``known``: doc_id, domain (index into targets)."""
     names = list(targets)
     bias, table = likelihoods(docs, known, len(names))
-    made = {"n_tokens", "rate", "p", "f", "s", *(f"p_{n}" for n in names)}
+    made = {"n_tokens", "rate", *(f"p_{n}" for n in names)}
     kept = [c for c in keep if c.lower() not in made]
-    state = stored(scored(described(docs, kept), table).withColumn("p", posteriors(bias)).drop("s"))
+    inside = [f"c{i}" for i in range(len(kept))]  # names of their own inside, which clash with nothing
+    rows = docs.select(*[col(c).alias(n) for c, n in zip(kept, inside)], "text")
+    state = stored(scored(described(rows, inside), table).withColumn("p", posteriors(bias)).drop("s"))
     steps, _, _ = fit_steps(state.select("n_tokens", "p"), [targets[n] for n in names])
-    return state.select(*[col(c) for c in kept], "n_tokens", *[F.get("p", F.lit(i)).alias(f"p_{n}") for i, n in enumerate(names)], _rate(steps, len(names)).alias("rate"))
+    found = [F.get("p", F.lit(i)).alias(f"p_{n}") for i, n in enumerate(names)]
+    out = state.select(*inside, "n_tokens", *found, _rate(steps, len(names)).alias("rate"))
+    return out.toDF(*kept, *out.columns[len(kept):])

@@ -226,6 +226,26 @@ def test_mixing_awkward_rows(spark, some):
     assert mixing.mix(frame.limit(0), mixing.domain_of(labels(spark, some)), mixing.TARGETS, ["doc_id"]).count() == 0
 
 
+def test_mixing_keeps_columns_with_the_names_of_its_work(spark):
+    frame = spark.createDataFrame([(1, "some words", "s", "f", "p", 7), (2, None, "s", "f", "p", 8)], "doc_id long, text string, s string, f string, p string, c0 int")
+    got = mixing.mix(frame, mixing.domain_of(labels(spark, [])), mixing.TARGETS, frame.columns)
+    assert got.columns[:6] == frame.columns
+    assert sorted(map(tuple, got.select(*frame.columns).collect())) == sorted(map(tuple, frame.collect()))
+
+
+def test_every_language_is_learned_whatever_its_size_and_lengths(spark, monkeypatch):
+    """A share far below one row in a million, one much repeated id, and a language that only occurs in long texts."""
+    monkeypatch.setattr(language_id, "SAMPLE", 2)
+    monkeypatch.setattr(language_id, "MAX_CHARS", 100)
+    rows = spark.range(3000).selectExpr(
+        "if(id % 2 = 0, 5, id) AS doc_id", "if(id % 3 = 0, 'aa', 'bb') AS lang", "concat('word ', id) AS text").unionByName(
+        spark.range(3).selectExpr("id AS doc_id", "'long' AS lang", "repeat('slow words ', 500) AS text"))
+    got = language_id.training_rows(rows, F.lit(True))
+    assert set(got["lang"]) == {"aa", "bb", "long"} and got["text"].str.len().max() <= 100
+    assert (got["lang"] == "aa").sum() <= 20
+    assert len(language_id.training_rows(rows.limit(0), F.lit(True))) == 0
+
+
 def test_only_copies_of_toxic_rows_are_weighted_down():
     """Toxic rows that share some words still count; copies with few changes count once."""
     rng = np.random.default_rng(3)

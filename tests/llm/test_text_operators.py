@@ -63,6 +63,18 @@ TALKS = [
 ]
 
 
+def test_long_conversation_needs_no_more_than_its_own_length(spark):
+    """Three thousand turns: what is grouped holds one formatted text, not one per reply."""
+    n = 3000
+    rows = spark.range(n).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "concat('t', id) AS text")
+    got = chat.digests(chat.format_conversations(rows)).first()
+    texts = [f"t{i}" for i in range(n)]
+    told = "".join(f"{'user' if i % 2 == 0 else 'assistant'}\n{t}\n" for i, t in enumerate(texts))
+    loss = "".join(texts[1::2])
+    assert (got["n_turns"], got["turns_sha256"]) == (n, hashlib.sha256(told.encode()).hexdigest())
+    assert (got["loss_chars"], got["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
 def test_chat_round_trip(spark):
     rows = spark.createDataFrame([(*t, "c") for t in TALKS], "conv_id long, turn long, role string, text string, formatted string")
     examples = chat.format_conversations(rows)
