@@ -20,7 +20,7 @@ from ..operators.accounts import account_monthly_eligible, forecast_schedule
 from ..operators.allocation import week_to_day, weekday_share
 from ..operators.publishing import ensemble_average
 from ..sources import tables
-from ..sources.shared import shared
+from ..sources.shared import shared, stored
 
 
 def _weeks_between(first: Column, last: Column) -> Column:
@@ -90,11 +90,11 @@ def _vintages_after(day: Column, last: dt.date, until: Column) -> Column:
 
 @shared
 def _key_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily sums per key, the carved-out part kept apart."""
+    """Daily sums per key, the carved-out part kept apart; stored, as both models read them."""
     carved = (F.col("segment") == C.CARVE_OUT_SEGMENT) & (F.col("sub_unit") == C.CARVE_OUT_SUB_UNIT)
-    return (tables.daily_usage(spark, sf_dir).where(F.col("date").isNotNull())
-            .groupBy("date", series_key(F.col("region"), F.col("segment")).alias("key"), carved.alias("carved"))
-            .agg(F.sum("dollars").cast(TOTAL).alias("dollars")))
+    return stored(tables.daily_usage(spark, sf_dir).where(F.col("date").isNotNull())
+                  .groupBy("date", series_key(F.col("region"), F.col("segment")).alias("key"), carved.alias("carved"))
+                  .agg(F.sum("dollars").cast(TOTAL).alias("dollars")))
 
 
 @shared
@@ -209,8 +209,8 @@ def unit_forecast_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manual plan per platform and per unit: usage of the months of whole quarters plus five percent."""
     usage = tables.daily_usage(spark, sf_dir).where(F.col("date") <= F.lit(newest_quarter(spark, sf_dir)[1]))
-    monthly = (usage.groupBy(fiscal.month_start("date").alias("month_start"), "platform", "unit")
-               .agg(F.sum("dollars").cast(TOTAL).alias("dollars")))
+    monthly = stored(usage.groupBy(fiscal.month_start("date").alias("month_start"), "platform", "unit")
+                     .agg(F.sum("dollars").cast(TOTAL).alias("dollars")))
 
     def of_kind(kind: str, name: str) -> DataFrame:
         return (monthly.groupBy("month_start", F.col(name).alias("platform"))
@@ -256,23 +256,29 @@ def _week_number(day: Column) -> Column:
 
 
 @shared
-def account_week(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense weekly panel: every account has each week from its first one to the newest one.
-
-    The usage rows are summed per account and week before anything else, so a hot account
-    leaves that step with a row per week; all later groups are bounded by the week count.
-    """
+def account_week_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usage per account and week, stored: whatever reads the panel in a query scans usage once."""
     usage = tables.daily_usage(spark, sf_dir)
 
     def part(condition: Column, name: str) -> Column:
         return F.sum(F.when(condition, F.col("dollars"))).cast(AMOUNT).alias(name)
 
     kind, priority = F.col("kind"), F.col("priority")
-    weekly = usage.groupBy("account_id", fiscal.monday_of("date").alias("week_start")).agg(
+    return stored(usage.where(F.col("date").isNotNull()).groupBy("account_id", fiscal.monday_of("date").alias("week_start")).agg(
         F.sum("dollars").cast(AMOUNT).alias("amount"),
         part(kind == "A", "usage_a"), part(kind == "N", "usage_n"), part(kind == "R", "usage_r"),
         part(priority == "1-URGENT", "usage_urgent"),
-        *[F.count_if(kind == k).alias(f"rows_{k}") for k in ("A", "N", "R")])
+        *[F.count_if(kind == k).alias(f"rows_{k}") for k in ("A", "N", "R")]))
+
+
+@shared
+def account_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense weekly panel: every account has each week from its first one to the newest one.
+
+    The usage rows are summed per account and week before anything else, so a hot account
+    leaves that step with a row per week; all later groups are bounded by the week count.
+    """
+    weekly = account_week_sums(spark, sf_dir)
     newest = newest_week(spark, sf_dir)
     a, n, r = F.sum("rows_A"), F.sum("rows_N"), F.sum("rows_R")
     spans = weekly.groupBy("account_id").agg(
