@@ -9,6 +9,7 @@ from .. import config as C
 from ..operators import accounts as A
 from ..operators import explain as X
 from ..operators import trees as R
+from ..sources import tables as T
 from ..sources.shared import shared, stored
 from . import account_queries as AQ
 from . import explain_queries as E
@@ -103,3 +104,60 @@ def attribution_checks(spark, sf):
     gap = F.abs(F.col("s") + F.col("base_value") - F.col("prediction")) <= 1e-6 * F.greatest(F.lit(1.0), F.abs("prediction"))
     return rows.groupBy("train_date", "population", "quarter_explained").agg(
         F.count("*").alias("accounts"), F.max("features").alias("features"), F.every(gap & (F.col("features") == len(C.FEATURES))).alias("adds_up"))
+
+
+# --- explainer on the trees ----------------------------------------------------------------
+
+
+@shared
+def tree_contributions(spark, sf):
+    """Contributions of the pending vintages, as the explainer job stores them."""
+    return stored(fit_and_attribute(spark, sf).drop("prediction"))
+
+
+@query("tree_explainer_master")
+def tree_explainer_master(spark, sf):
+    """Contributions of the trees with the names of the accounts."""
+    names = X.account_names(T.daily_usage(spark, sf), T.monthly_private(spark, sf), T.monthly_public(spark, sf))
+    return X.explainer_master(tree_contributions(spark, sf), names)
+
+
+@shared
+def tree_features_of_kind(spark, sf):
+    return X.features_of_kind(tree_contributions(spark, sf), T.feature_catalog(spark))
+
+
+@query("tree_contribution_strength")
+def tree_contribution_strength(spark, sf):
+    """Share of each feature in its kind, by the contributions of the trees."""
+    return X.contribution_strength(tree_features_of_kind(spark, sf))
+
+
+@query("tree_contribution_direction")
+def tree_contribution_direction(spark, sf):
+    return X.contribution_direction(tree_features_of_kind(spark, sf))
+
+
+@query("tree_kind_strength")
+def tree_kind_strength(spark, sf):
+    return X.kind_strength(tree_features_of_kind(spark, sf))
+
+
+@query("tree_kind_direction")
+def tree_kind_direction(spark, sf):
+    return X.kind_direction(tree_features_of_kind(spark, sf))
+
+
+_KINDS = len({kind for _, kind, used in C.FEATURE_CATALOG if used})
+
+
+@query("tree_explainer_checks", compose(f"""
+SELECT train_date, quarter_explained, count(*) AS accounts, CAST({_KINDS} AS BIGINT) AS kinds, TRUE AS shares_add_up
+FROM (SELECT *, unnest([{E._LABEL}, {E._NEXT_LABEL}]) AS quarter_explained FROM explained WHERE train_date = (SELECT max(train_date) FROM explained))
+GROUP BY ALL""", "explained"))
+def tree_explainer_checks(spark, sf):
+    """Of every explained row the shares of its kinds add up to one, unless no feature contributes."""
+    rows = tree_kind_strength(spark, sf).groupBy("account_id", "train_date", "quarter_explained").agg(
+        F.sum("strength").alias("whole"), F.count_distinct("kind").alias("kinds"))
+    return rows.groupBy("train_date", "quarter_explained").agg(
+        F.count("*").alias("accounts"), F.max("kinds").alias("kinds"), F.every(F.coalesce(F.abs(F.col("whole") - 1) < 1e-6, F.lit(True))).alias("shares_add_up"))

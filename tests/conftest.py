@@ -21,3 +21,13 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR
+
+
+@pytest.fixture
+def few(monkeypatch):
+    """A small draw of the grid of series models, so that searches are quick."""
+    from meterline import config
+    from meterline.operators.series_models import Kind
+
+    draw = Kind.candidates
+    monkeypatch.setattr(Kind, "candidates", lambda self, budget=12, seed=config.SEED: draw(self, min(budget, 12), seed))

@@ -131,3 +131,34 @@ def test_loss_falls_by_tree_and_a_seed_repeats(spark):
     # a gain no split reaches leaves single leaves
     flat, _ = G.boost(rows, "k", "y", 4, G.Boosting(trees=1, depth=3, least_gain=1e9), "s")
     assert flat.count() == 1
+
+
+def test_job_from_usage_to_frozen_actuals(spark, sf_dir, tmp_path):
+    """From usage to published forecasts and frozen actuals through the store, with a rerun of the newest vintage."""
+    import __spark_entry__ as entry
+    from meterline.operators import vintages as V
+    from meterline.plans import inputs as I
+    from meterline.session import prepare
+    from meterline.sources.shared import one_build, stored
+
+    def told(frame, *columns):
+        return sorted(tuple(str(x) for x in r) for r in frame.select(*columns).collect())
+
+    prepare(spark)
+    store = J.VintageStore(spark, str(tmp_path / "store"))
+    with one_build():
+        newest = [I.vintage_before(spark, sf_dir, k) for k in (0, 1)]
+        models = stored(I.model_forecast(spark, sf_dir).where(F.col("vintage").isin(newest)))
+        snapshots = stored(I.usage_snapshots(spark, sf_dir).where(F.col("snapshot_date").isin(newest)))
+    for run in ("first", "again"):
+        assert store.publish(models, ("naive7", "naive28"), run, dt.datetime.combine(newest[0], dt.time(6))) == sorted(newest)
+        store.freeze(snapshots, run)
+    want = entry.queries()["ensemble_average"](spark, sf_dir).where(F.col("vintage").isin(newest))
+    keys = ("ts_key", "date", "vintage")
+    assert told(store.read("forecast"), *keys, F.col("y").cast("double")) == told(want, *keys, "y")
+    # one frozen copy for each vintage, that of the day of its run
+    frozen = store.read("frozen")
+    assert frozen.groupBy("vintage").agg(F.count_distinct("pulled_at").alias("n")).where("n <> 1").isEmpty()
+    latest = V.actuals_latest_frozen(frozen)
+    known = snapshots.where(F.col("snapshot_date") == newest[0])
+    assert latest.agg(F.sum("dollars")).first()[0] == known.agg(F.sum("dollars")).first()[0]

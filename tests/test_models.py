@@ -31,13 +31,6 @@ def clean_series(spark, days=800):
         "unit", "date", F.col("v").cast("decimal(18,4)").alias("dollars"))
 
 
-@pytest.fixture
-def few(monkeypatch):
-    """A small draw of the grid, so that searches are quick."""
-    draw = K.Kind.candidates
-    monkeypatch.setattr(K.Kind, "candidates", lambda self, budget=12, seed=C.SEED: draw(self, min(budget, 12), seed))
-
-
 def test_clean_trend_and_week_are_recovered(spark):
     series = clean_series(spark)
     model = K.Candidate(breaks="none", penalty=1e-8)

@@ -15,7 +15,7 @@ def con(sf_dir):
 
 
 @pytest.mark.parametrize("name", list(ORACLE))
-def test_same_rows(spark, con, sf_dir, name):
+def test_same_rows(spark, con, sf_dir, name, few):
     assert differences(QUERIES[name](spark, sf_dir), con, ORACLE[name]) == []
 
 
