@@ -14,7 +14,7 @@ from ..operators import forecasting as M
 from ..operators import series as S
 from ..operators import series_models as R
 from ..sources import tables as T
-from ..sources.shared import shared, stored
+from ..sources.shared import kept, shared, stored
 from . import inputs as I
 from . import series_queries as SQ
 from .oracle_inputs import compose, key
@@ -116,16 +116,16 @@ _H = C.DAILY_HORIZON
 _MONTHS = C.MONTHLY_SPLIT_SPACING
 
 
-@shared
+@kept(lambda: R.DAILY.candidates())
 def daily_scores(spark, sf):
-    """Scores of all candidates on all splits of the units, as the search job stores them."""
-    return stored(R.candidate_scores(stored(dense_units(spark, sf)), "unit", R.DAILY, _H, _H, R.DAILY.candidates()))
+    """Scores of all candidates on all splits of the units, as the search job keeps them."""
+    return R.candidate_scores(stored(dense_units(spark, sf)), "unit", R.DAILY, _H, _H, R.DAILY.candidates())
 
 
-@shared
+@kept(lambda: R.MONTHLY.candidates())
 def monthly_scores(spark, sf):
     series = stored(R.dense_months(SQ.monthly_union_series(spark, sf), "unit"))
-    return stored(R.candidate_scores(series, "unit", R.MONTHLY, _MONTHS, _MONTHS, R.MONTHLY.candidates()))
+    return R.candidate_scores(series, "unit", R.MONTHLY, _MONTHS, _MONTHS, R.MONTHLY.candidates())
 
 
 def _settings(spark, best, kind):

@@ -10,7 +10,7 @@ from ..operators import accounts as A
 from ..operators import explain as X
 from ..operators import trees as R
 from ..sources import tables as T
-from ..sources.shared import shared, stored
+from ..sources.shared import kept, shared, stored
 from . import account_queries as AQ
 from . import explain_queries as E
 from . import inputs as I
@@ -53,12 +53,12 @@ def boosted_tree_search(spark, sf):
     return spark.createDataFrame(rows, "population string, max_depth int, trees int, mean_rmse double, best boolean")
 
 
-@shared
+@kept(lambda: C.ACCOUNT_WEEK_HORIZON)
 def tree_forecasts(spark, sf):
-    """Boosted-tree forecasts of all steps ahead for both populations, as their jobs store them."""
+    """Boosted-tree forecasts of all steps ahead for both populations, as their jobs keep them."""
     parts = [R.direct_multi_horizon_forecast(*_population(spark, sf, name), C.ACCOUNT_WEEK_HORIZON).withColumn("population", F.lit(name))
              for name in POPULATIONS]
-    return stored(parts[0].unionByName(parts[1]))
+    return parts[0].unionByName(parts[1])
 
 
 @query("direct_multi_horizon_forecast")
@@ -85,21 +85,27 @@ def account_tree_schedule(spark, sf):
     return A.forecast_schedule(tree_forecasts(spark, sf))
 
 
-@query("fit_and_attribute")
-def fit_and_attribute(spark, sf):
-    """Contributions for the vintages that have no stored result yet."""
+@kept(lambda: C.FEATURES)
+def explained(spark, sf):
+    """Contributions of the vintages that have no stored result yet, as the explainer job keeps them."""
     features = E.features(spark, sf)
     pending = [row["train_date"] for row in E.pending_vintages(spark, sf).collect()]  # at most one per week
     return R.fit_and_attribute(features, X.vintage_quarter_labels(features), pending)
 
 
+@query("fit_and_attribute")
+def fit_and_attribute(spark, sf):
+    """Contributions for the vintages that have no stored result yet."""
+    return explained(spark, sf)
+
+
 @query("attribution_checks", compose(f"""
 SELECT train_date, {E._POPULATION} AS population, quarter_explained, count(*) AS accounts, CAST({len(C.FEATURES)} AS BIGINT) AS features, TRUE AS adds_up
 FROM (SELECT *, unnest([{E._LABEL}, {E._NEXT_LABEL}]) AS quarter_explained FROM explained WHERE train_date = (SELECT max(train_date) FROM explained))
 GROUP BY ALL""", "explained"))
 def attribution_checks(spark, sf):
     """Contributions and base value of every explained row add up to its prediction."""
-    rows = fit_and_attribute(spark, sf).groupBy("account_id", "train_date", "population", "quarter_explained", "prediction", "base_value").agg(
+    rows = explained(spark, sf).groupBy("account_id", "train_date", "population", "quarter_explained", "prediction", "base_value").agg(
         F.sum("contribution").alias("s"), F.count("*").alias("features"))
     gap = F.abs(F.col("s") + F.col("base_value") - F.col("prediction")) <= 1e-6 * F.greatest(F.lit(1.0), F.abs("prediction"))
     return rows.groupBy("train_date", "population", "quarter_explained").agg(
@@ -109,10 +115,8 @@ def attribution_checks(spark, sf):
 # --- explainer on the trees ----------------------------------------------------------------
 
 
-@shared
 def tree_contributions(spark, sf):
-    """Contributions of the pending vintages, as the explainer job stores them."""
-    return stored(fit_and_attribute(spark, sf).drop("prediction"))
+    return explained(spark, sf).drop("prediction")
 
 
 @query("tree_explainer_master")

@@ -49,6 +49,28 @@ def shared(build):
     return once
 
 
+_KEPT: dict[tuple, DataFrame] = {}
+
+
+def kept(settings):
+    """Mark a table function whose result is stored and kept for the application, as a job keeps its output for others.
+
+    For fits, which many queries read. ``settings`` is called for what the fit depends on beside the data.
+    """
+
+    def mark(build):
+        @wraps(build)
+        def once(spark, sf_dir):
+            key = (spark.sparkContext.applicationId, build.__module__, build.__qualname__, sf_dir, repr(settings()))
+            if key not in _KEPT:
+                _KEPT[key] = stored(build(spark, sf_dir))
+            return _KEPT[key]
+
+        return once
+
+    return mark
+
+
 def stored(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Write a table that a query reads several times to the shared folder and read it back.
 
