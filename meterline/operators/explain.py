@@ -21,19 +21,23 @@ def quarter_outlook(days: DataFrame) -> DataFrame:
     """Forecast sum and week count of the current and the next fiscal quarter, in one pass.
 
     Accounts without a day in the current quarter are left out; a next quarter without days
-    counts as zero over one week.
+    counts as zero over one week. A row is a day, or with a column ``days`` so many equal days of one quarter.
     """
+    number = F.col("days") if "days" in days.columns else F.lit(1)
     run, day = fiscal.fiscal_code("run_date"), fiscal.fiscal_code("date")
     following = fiscal.fiscal_code(F.add_months("run_date", 3))
     current = run == day
     ahead = following == day
 
     def total(when: Column) -> Column:
-        return F.sum(F.when(when, F.col("forecast"))).cast(WIDE)
+        return F.sum(F.when(when, F.col("forecast") * number)).cast(WIDE)
+
+    def count(when: Column) -> Column:
+        return F.sum(F.when(when, number).otherwise(0))
 
     return (days.groupBy("account_id", F.col("run_date").alias("train_date"))
-            .agg(F.count_if(current).alias("days_current"), total(current).alias("current_forecast"),
-                 F.count_if(ahead).alias("days_next"), total(ahead).alias("next_forecast"))
+            .agg(count(current).alias("days_current"), total(current).alias("current_forecast"),
+                 count(ahead).alias("days_next"), total(ahead).alias("next_forecast"))
             .where("days_current > 0")
             .select("account_id", "train_date", (F.col("days_current") / 7).alias("current_weeks"), "current_forecast",
                     F.coalesce("next_forecast", F.lit(0)).cast(WIDE).alias("next_forecast"),
@@ -74,7 +78,8 @@ def linear_attribution(features: DataFrame, coefficients=None) -> DataFrame:
     """Coefficient times distance to the slice mean, per feature; slice = vintage and population.
 
     The base value is what the coefficients give for the slice means, so contributions plus
-    base are the linear prediction. Both quarters are explained, the next one at half weight.
+    base are the linear prediction. Both quarters are explained, the next one at half weight. Accounts are
+    dealt before their rows are unfolded, so what groups or joins the long rows by account moves none of them.
     """
     weights = coefficients or C.LINEAR_COEFFICIENTS
     names = list(weights)
@@ -90,18 +95,21 @@ def linear_attribution(features: DataFrame, coefficients=None) -> DataFrame:
         F.named_struct(F.lit("label"), F.concat(F.lit("q"), quarter.cast("string")), F.lit("weight"), F.lit(1.0)),
         F.named_struct(F.lit("label"), F.concat(F.lit("q"), fiscal.next_quarter(quarter).cast("string")),
                        F.lit("weight"), F.lit(0.5)))
-    rows = (filled.withColumn("mean", F.try_element_at(by_slice, slice_key))
+    spark = features.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = (filled.select("account_id", "train_date", "population", *names, slice_key.alias("slice")).repartition(tasks, "account_id")
+            .withColumn("mean", F.try_element_at(by_slice, "slice"))
             .withColumn("explained", F.explode(explained)))
     base = None
     for n in names:
         part = F.lit(weights[n]) * F.col(f"mean.{n}")
         base = part if base is None else base + part
-    wide = rows.select(
+    parts = [F.struct(F.lit(n).alias("feature"), (F.lit(weights[n]) * (F.col(n) - F.col(f"mean.{n}")) * F.col("explained.weight") + 0.0).alias("contribution"))
+             for n in names]
+    return rows.select(
         "account_id", "train_date", F.col("explained.label").alias("quarter_explained"), "population",
-        (base * F.col("explained.weight")).alias("base_value"),
-        *[(F.lit(weights[n]) * (F.col(n) - F.col(f"mean.{n}")) * F.col("explained.weight") + 0.0).alias(n)
-          for n in names])
-    return wide.unpivot([*ROW, "population", "base_value"], names, "feature", "contribution")
+        (base * F.col("explained.weight")).alias("base_value"), F.explode(F.array(*parts)).alias("part")).select(
+        *ROW, "population", "base_value", "part.feature", "part.contribution")
 
 
 def account_names(usage: DataFrame, private: DataFrame, public: DataFrame, latest: bool = True) -> DataFrame:

@@ -65,12 +65,12 @@ SELECT c.*, k.kind FROM contributions c JOIN (VALUES {_CATALOG}) k(name, kind, i
 SELECT * REPLACE (CAST(current_forecast AS DOUBLE) AS current_forecast, CAST(next_forecast AS DOUBLE) AS next_forecast) FROM outlook""",
                                   "outlook"))
 def quarter_outlook(spark, sf):
-    return X.quarter_outlook(I.account_day_forecast(spark, sf))
+    return X.quarter_outlook(I.account_weekday_forecast(spark, sf))
 
 
 @query("explain_features", compose("SELECT * FROM explained", "explained"))
 def explain_features(spark, sf):
-    return X.explain_features(quarter_outlook(spark, sf), I.account_week(spark, sf))
+    return X.explain_features(quarter_outlook(spark, sf), I.account_week(spark, sf, C.ACCOUNT_VINTAGES))
 
 
 @shared
