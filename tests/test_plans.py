@@ -37,3 +37,15 @@ def test_usage_is_summed_before_it_is_unfolded(spark, sf_dir, name):
     first = min(i for i, line in enumerate(lines) if "Generate" in line)
     assert any("Aggregate" in line for line in lines[first:]) and not any("Generate" in line for line in lines[first + 1:])
     assert QUERIES[name](spark, sf_dir).columns
+
+
+@pytest.mark.parametrize("name", ["feature_assembly", "account_population"])
+def test_dense_panel_is_neither_stored_nor_shuffled(spark, sf_dir, name):
+    """Also where the inactive accounts are too many to broadcast: nothing above the idle weeks moves or sorts them."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    unfolded = min(i for i, line in enumerate(lines) if "Generate explode" in line)
+    assert not [line for line in lines[:unfolded] if re.search(r"Exchange|Sort|FileScan", line)]
